@@ -134,17 +134,22 @@ def group_vs_rest(
     df: DataFrame, groups: Sequence[str], outcome: str, least: int = 10, within: Sequence[str] = (),
     alpha: float = stats.ALPHA,
 ) -> DataFrame:
-    """Hit rate of every group against all other rows, corrected over all groups of ``within``.
+    """Hit rate of every group of rows against all other rows, corrected over all groups of ``within``."""
+    hit = F.coalesce(F.expr(outcome), F.lit(False))
+    counts = df.groupBy(*within, *groups).agg(
+        F.count(F.lit(1)).alias("n"), F.count(F.when(hit, 1)).alias("hits"))
+    return counts_vs_rest(counts, least, within, alpha)
+
+
+def counts_vs_rest(
+    counts: DataFrame, least: int = 10, within: Sequence[str] = (), alpha: float = stats.ALPHA,
+) -> DataFrame:
+    """The same from rows that are groups already, with columns ``n`` and ``hits``.
 
-    The rest is the total minus the group: both come from the same counts, so
-    no row is compared with another one.
+    The rest is the total minus the group, so no row is compared with another one.
     """
-    hit = F.coalesce(F.expr(outcome), F.lit(False))
-    # A constant key keeps the total a real aggregate when there is no outer grouping.
+    # A constant key stands in when there is no outer grouping.
     outer = list(within) or ["_all"]
-    counts = df.groupBy(*within, *groups).agg(
-        F.count(F.lit(1)).alias("n"), F.count(F.when(hit, 1)).alias("hits")
-    )
     counts = counts if within else counts.withColumn("_all", F.lit(0))
     totals = counts.groupBy(*outer).agg(F.sum("n").alias("_n"), F.sum("hits").alias("_hits"))
     against = counts.join(totals, outer).where(F.col("n") >= least).withColumns({

@@ -30,11 +30,13 @@ def with_previous(
     inside = Window.partitionBy(entity, *keys).orderBy(*order)
     rows = cut.withColumns({"_inside": F.lag(carried).over(inside), "_at": F.row_number().over(inside)})
     tails = cut.groupBy(entity, *keys).agg(F.max_by(carried, position).alias("_last"))
-    heads = tails.withColumn("_before", F.lag("_last").over(Window.partitionBy(entity).orderBy(*keys))).drop("_last")
+    before = F.lag("_last").over(Window.partitionBy(entity).orderBy(*keys)).alias("_before")
+    heads = tails.select(*[F.col(k).alias(f"_head_{k}") for k in (entity, *keys)], before)
+    same_slice = [F.col(k).eqNullSafe(F.col(f"_head_{k}")) for k in (entity, *keys)]
     return (
-        rows.join(heads, [entity, *keys])
+        rows.join(heads, same_slice)
         .withColumn("previous", F.when(F.col("_at") == 1, F.col("_before")).otherwise(F.col("_inside")))
-        .drop("_inside", "_at", "_before", *keys)
+        .drop("_inside", "_at", "_before", *keys, *[f"_head_{k}" for k in (entity, *keys)])
     )
 
 
