@@ -18,8 +18,10 @@ def promote(documents: DataFrame, entity: str = "puuid", text: str = "document",
     are kept apart by :func:`unreadable`.
     """
     at = ingested_at if ingested_at is not None else F.current_timestamp()
-    doc = F.from_json(text, schemas.MATCH_DOCUMENT)
-    lifted = documents.withColumn("_doc", doc).where(F.col("_doc.metadata.matchId").isNotNull())
+    # Generated, not filtered: a filter would be pushed down and parse every document a second time.
+    readable = F.filter(
+        F.array(F.from_json(text, schemas.MATCH_HEADER)), lambda d: d["metadata"]["matchId"].isNotNull())
+    lifted = documents.select(entity, text, F.explode(readable).alias("_doc"))
     info = "_doc.info."
     return lifted.select(
         F.col("_doc.metadata.matchId").alias("match_id"),
@@ -33,7 +35,7 @@ def promote(documents: DataFrame, entity: str = "puuid", text: str = "document",
 
 def unreadable(documents: DataFrame, text: str = "document") -> DataFrame:
     """Documents that :func:`promote` cannot place."""
-    doc = F.from_json(text, schemas.MATCH_DOCUMENT)
+    doc = F.from_json(text, schemas.MATCH_HEADER)
     return documents.where(doc["metadata"]["matchId"].isNull())
 
 
@@ -54,16 +56,13 @@ def promote_timelines(documents: DataFrame, raw_matches: DataFrame, text: str =
 
 def participants(raw: DataFrame, owner_only: bool = False) -> DataFrame:
     """One row per participant of every raw match; ``owner_only`` keeps the tracked player before exploding."""
-    parsed = raw.select(
-        "match_id", "game_creation", "game_duration", "queue_id", "puuid",
-        F.from_json("payload", schemas.MATCH_DOCUMENT)["info"].alias("info"),
-    )
+    keys = ["match_id", "game_creation", "game_duration", "queue_id", "puuid"]
+    parsed = raw.select(*keys, F.from_json("payload", schemas.MATCH_DOCUMENT)["info"].alias("info"))
     everyone = F.col("info.participants")
     wanted = F.filter(everyone, lambda p: p["puuid"] == F.col("puuid")) if owner_only else everyone
-    return parsed.select(
-        "match_id", "game_creation", "game_duration", "queue_id", "puuid",
-        F.col("info.gameVersion").alias("game_version"), F.explode(wanted).alias("p"),
-    )
+    # The version leaves the document before the explode, so that no row drags the whole document along.
+    lifted = parsed.select(*keys, F.col("info.gameVersion").alias("game_version"), wanted.alias("people"))
+    return lifted.select(*keys, "game_version", F.explode("people").alias("p"))
 
 
 def _leaf(path: str, kind: str) -> Column:
@@ -129,16 +128,17 @@ def minute_of(frame: Column) -> Column:
     return F.floor(frame["timestamp"] / 60000).cast("int")
 
 
-def first_per_minute(frames: Column) -> Column:
-    """First frame of every minute. The end-of-game frame falls into a minute that is already taken."""
-    in_order = F.array_sort(frames, lambda x, y: F.when(x["timestamp"] < y["timestamp"], -1).when(
-        x["timestamp"] > y["timestamp"], 1).otherwise(0))
-    return F.filter(in_order, lambda f, i: (i == 0) | (
-        minute_of(f) != minute_of(F.get(in_order, i - 1))))
+def in_time_order(frames: Column) -> Column:
+    return F.array_sort(frames, lambda x, y: F.signum(x["timestamp"] - y["timestamp"]).cast("int"))
+
+
+def first_per_minute(ordered: Column) -> Column:
+    """First of the ordered frames of every minute. The end-of-game frame falls into a minute that is already taken."""
+    return F.filter(ordered, lambda f, i: (i == 0) | (minute_of(f) != minute_of(F.get(ordered, i - 1))))
 
 
 def _participant_id(puuid: str) -> Column:
-    mine = F.filter("info.participants", lambda p: p["puuid"] == F.col(puuid))
+    mine = F.filter("participants", lambda p: p["puuid"] == F.col(puuid))
     return F.get(mine, F.lit(0))["participantId"].cast("string")
 
 
@@ -163,14 +163,14 @@ def flatten_frames(
     if small:
         timelines = timelines.join(pending, "match_id", "left_semi")
     parsed = timelines.select("match_id", F.from_json("payload", schemas.TIMELINE_DOCUMENT)["info"].alias("info"))
-    narrow = parsed.select("match_id", F.struct(
-        F.col("info.participants").alias("participants"), first_per_minute(F.col("info.frames")).alias("frames"),
-    ).alias("info"))
+    ordered = parsed.select("match_id", F.col("info.participants").alias("participants"),
+                            in_time_order(F.col("info.frames")).alias("ordered"))
+    narrow = ordered.select("match_id", "participants", first_per_minute(F.col("ordered")).alias("frames"))
     joined = narrow.join(tracked, "match_id").withColumns(
         {"_me": _participant_id("puuid"), "_rival": _participant_id("rival")}).where(F.col("_me").isNotNull())
     minutes = joined.select(
         "match_id", "puuid", "team_position", "champion_name", "win", "_me", "_rival",
-        F.explode("info.frames").alias("frame"),
+        F.explode("frames").alias("frame"),
     ).select(
         "*", minute_of(F.col("frame")).alias("minute"),
         F.try_element_at("frame.participantFrames", "_me").alias("_m"),

@@ -98,6 +98,14 @@ MATCH_DOCUMENT = T.StructType([
     ])),
 ])
 
+# The fields that are lifted out of a document on landing; the parser skips everything else.
+MATCH_HEADER = T.StructType([
+    MATCH_DOCUMENT["metadata"],
+    T.StructField("info", T.StructType([
+        f for f in MATCH_DOCUMENT["info"].dataType if f.name not in ("gameVersion", "participants")
+    ])),
+])
+
 _PLAYER_FRAME = T.StructType([
     T.StructField(name, T.DoubleType())
     for name in ("totalGold", "xp", "minionsKilled", "jungleMinionsKilled", "level")
