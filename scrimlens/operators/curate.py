@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from scrimlens import schemas
@@ -61,8 +63,11 @@ def participants(raw: DataFrame, owner_only: bool = False) -> DataFrame:
     everyone = F.col("info.participants")
     wanted = F.filter(everyone, lambda p: p["puuid"] == F.col("puuid")) if owner_only else everyone
     # The version leaves the document before the explode, so that no row drags the whole document along.
-    lifted = parsed.select(*keys, F.col("info.gameVersion").alias("game_version"), wanted.alias("people"))
-    return lifted.select(*keys, "game_version", F.explode("people").alias("p"))
+    # The people stay inside a struct: for a bare column Spark adds a size(...) > 0 filter and pushes it
+    # down to the scan, where every document would be parsed a second time.
+    lifted = parsed.select(
+        *keys, F.col("info.gameVersion").alias("game_version"), F.struct(wanted.alias("people")).alias("doc"))
+    return lifted.select(*keys, "game_version", F.explode("doc.people").alias("p"))
 
 
 def _leaf(path: str, kind: str) -> Column:
@@ -81,16 +86,34 @@ def match_facts(people: DataFrame) -> DataFrame:
     ).select(*schemas.CURATED_MATCH.names)
 
 
-def peer_facts(people: DataFrame) -> DataFrame:
-    """Peer rows of everyone with an assigned role, once per match even if several owners stored it."""
+def _peer_columns() -> list[Column]:
     cs = F.col("p.totalMinionsKilled") + F.col("p.neutralMinionsKilled")
     minutes = minutes_of("game_duration")
-    return people.where(F.col("p.teamPosition") != "").select(
-        "match_id", F.col("p.puuid").alias("puuid"), played_at("game_creation").alias("played_at"),
-        F.col("queue_id").cast("int").alias("queue_id"), minutes.alias("duration_min"),
-        F.try_divide(cs, F.nullif(minutes, F.lit(0.0))).alias("cs_per_min"),
-        *[_leaf(path, kind) for path, kind in schemas.PEER_LEAVES],
-    ).dropDuplicates(["match_id", "puuid"]).select(*schemas.CURATED_PEER.names)
+    columns = {
+        "match_id": F.col("match_id"), "puuid": F.col("p.puuid"), "played_at": played_at("game_creation"),
+        "queue_id": F.col("queue_id").cast("int"), "duration_min": minutes,
+        "cs_per_min": F.try_divide(cs, F.nullif(minutes, F.lit(0.0))),
+        **{schemas.snake(path): _leaf(path, kind) for path, kind in schemas.PEER_LEAVES},
+    }
+    return [columns[name].alias(name) for name in schemas.CURATED_PEER.names]
+
+
+def peer_facts(people: DataFrame) -> DataFrame:
+    """Peer rows of everyone with an assigned role, once per match even if several owners stored it."""
+    return one_per_key(people.where(F.col("p.teamPosition") != "").select(*_peer_columns()), ["match_id", "puuid"])
+
+
+def shared_parse(people: DataFrame) -> DataFrame:
+    """What both tables need from one parse: the narrow peer row of everyone, the full one of the owner only."""
+    return people.select(
+        "match_id", "game_creation", "game_duration", "queue_id", "puuid", "game_version",
+        F.struct(*_peer_columns()).alias("peer"), F.when(F.col("p.puuid") == F.col("puuid"), F.col("p")).alias("p"))
+
+
+def one_per_key(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One row per key; a window instead of ``dropDuplicates``, which aggregates every column on its own."""
+    place = F.row_number().over(Window.partitionBy(*keys).orderBy(*keys))
+    return rows.withColumn("_place", place).where(F.col("_place") == 1).drop("_place")
 
 
 def flatten_matches(raw: DataFrame) -> DataFrame:
@@ -101,10 +124,11 @@ def flatten_peers(raw: DataFrame) -> DataFrame:
     return peer_facts(participants(raw))
 
 
-def only_new(rows: DataFrame, existing: DataFrame | None, keys: list[str]) -> DataFrame:
-    """Rows whose key is not in the target yet, each key once."""
-    rows = rows.dropDuplicates(keys)
-    return rows if existing is None else rows.join(existing.select(*keys), keys, "left_anti")
+def only_new(rows: DataFrame, existing: DataFrame | None, keys: Sequence[str], unique: bool = False) -> DataFrame:
+    """Rows whose key is not in the target yet, each key once (``unique`` says that it is already)."""
+    keys = list(keys)
+    new = rows if existing is None else rows.join(existing.select(*keys), keys, "left_anti")
+    return new if unique else one_per_key(new, keys)
 
 
 def lane_rivals(players: DataFrame, peers: DataFrame, match: str = "match_id", entity: str = "puuid",
@@ -151,10 +175,11 @@ def flatten_frames(
     Matches that have frames already are left out before any payload is parsed:
     a measured small pending set is broadcast to the raw scan, otherwise the
     documents are parsed first and only the narrow frames are shuffled. Ids are
-    resolved once per document, not once per minute.
+    resolved once per document, not once per minute. A timeline that is stored
+    twice gives its rows twice; the append keeps one.
     """
     players = matches.where(F.col("team_position") != "").select(
-        "match_id", "puuid", "team_position", "champion_name", "win").dropDuplicates(["match_id", "puuid"])
+        "match_id", "puuid", "team_position", "champion_name", "win")
     if done is not None:
         players = players.join(done.select("match_id", "puuid"), ["match_id", "puuid"], "left_anti")
     rivals = lane_rivals(players, peers)
@@ -165,12 +190,13 @@ def flatten_frames(
     parsed = timelines.select("match_id", F.from_json("payload", schemas.TIMELINE_DOCUMENT)["info"].alias("info"))
     ordered = parsed.select("match_id", F.col("info.participants").alias("participants"),
                             in_time_order(F.col("info.frames")).alias("ordered"))
-    narrow = ordered.select("match_id", "participants", first_per_minute(F.col("ordered")).alias("frames"))
+    narrow = ordered.select("match_id", "participants", F.struct(
+        first_per_minute(F.col("ordered")).alias("frames")).alias("doc"))
     joined = narrow.join(tracked, "match_id").withColumns(
         {"_me": _participant_id("puuid"), "_rival": _participant_id("rival")}).where(F.col("_me").isNotNull())
     minutes = joined.select(
         "match_id", "puuid", "team_position", "champion_name", "win", "_me", "_rival",
-        F.explode("frames").alias("frame"),
+        F.explode("doc.frames").alias("frame"),
     ).select(
         "*", minute_of(F.col("frame")).alias("minute"),
         F.try_element_at("frame.participantFrames", "_me").alias("_m"),
@@ -187,4 +213,4 @@ def flatten_frames(
         "match_id", "minute", "team_position", "champion_name", "win",
         *[c.alias(n) for n, c in mine.items()], *[c.alias(f"{n}_rival") for n, c in theirs.items()],
         *[(mine[n] - theirs[n]).alias(f"diff_{n}") for n in ("gold", "xp", "cs")], "puuid",
-    ).dropDuplicates(["match_id", "puuid", "minute"]).select(*schemas.TIMELINE_FRAME.names)
+    ).select(*schemas.TIMELINE_FRAME.names)

@@ -11,7 +11,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from scrimlens.functions.expressions import epoch_seconds
 from scrimlens.functions.filters import since
 from scrimlens.operators import curate, segments
-from scrimlens.plans.tables import LATE_AS_OF, shown, spread, sql_shown, table
+from scrimlens.plans.tables import LATE_AS_OF, shown, spread, sql_shown, table, work_folder
+from scrimlens.sources.readers import read_matches, read_peers
+from scrimlens.streaming import curation
 
 MINUTES = (5, 10, 14)
 LANING_MINUTES = (5, 10, 14, 20)
@@ -119,9 +121,11 @@ def raw_kda_by_champion(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _frames(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    raw = raw_matches(spark, sf_dir)
-    matches = curate.flatten_matches(raw)
-    return curate.flatten_frames(raw_timelines(spark, sf_dir), matches, curate.flatten_peers(raw)), matches
+    """Frames and matches, with the curated tables written first, as the frame job expects them."""
+    lake = curation.Lake(work_folder(spark))
+    curation.curate_raw(raw_matches(spark, sf_dir), lake, buckets=16)
+    matches, peers = read_matches(spark, lake.matches), read_peers(spark, lake.peers)
+    return curate.flatten_frames(raw_timelines(spark, sf_dir), matches, peers), matches
 
 
 def timeline_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
