@@ -109,14 +109,16 @@ def window_overview(
 
 
 def compare_outcomes(
-    df: DataFrame, by: Sequence[str], metrics: Sequence[Metric], outcome: str, least: int = MIN_PER_OUTCOME, **judging,
+    df: DataFrame, by: Sequence[str], metrics: Sequence[Metric], outcome: str, least: int = MIN_PER_OUTCOME,
+    main: tuple[str, str] | None = None, **judging,
 ) -> DataFrame:
     """Won rows (side a) against lost rows (side b); entities below ``least`` of either are left out.
 
     As in a two-way CASE, a row without an outcome counts as lost.
+    ``main=(entity, role)`` looks at each entity's main role only.
     """
     won = F.coalesce(F.expr(outcome), F.lit(False))
-    sides = summarize_sides(df, by, metrics, won, ~won)
+    sides = summarize_sides(df, by, metrics, won, ~won, main)
     ready = sides.where((F.col("group_n_a") >= least) & (F.col("group_n_b") >= least))
     return judge(ready, by, **judging).withColumn("guidance", outcome_guidance())
 

@@ -11,7 +11,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-ACCURACY = 20_000
+ACCURACY = 10_000
 
 
 def exact_quantiles(
@@ -37,17 +37,17 @@ def exact_quantiles(
         edges, n, x = F.col(f"{c}__edges"), F.col(f"{c}__n"), F.col(c)
         whole = n < accuracy
         low, high = edges[i], edges[len(shares) + i]
-        return F.when(x.isNotNull() & (whole | (x <= high)), F.struct(
+        # A metric without any value still gets its row, with value NULL.
+        return F.when((n == 0) | (x.isNotNull() & (whole | (x <= high))), F.struct(
             F.lit(c).alias("metric"), F.lit(float(shares[i])).alias("share"), n.alias("n"),
             F.when(whole | (x >= low), x).alias("x"),
         ))
 
-    places = [place(c, i) for c in columns for i in range(len(shares))]
-    kept = F.filter(F.array(*places), lambda s: s.isNotNull())
+    places = F.array(*[place(c, i) for c in columns for i in range(len(shares))])
     hit = values.join(_null_safe(brackets, by), [F.col(b).eqNullSafe(F.col(f"_{b}")) for b in by]) if by else None
     if hit is None:
         raise ValueError("exact_quantiles needs at least one grouping column")
-    counted = hit.select(*by, F.inline(kept)).groupBy(*by, "metric", "share", "n", "x").agg(
+    counted = hit.select(*by, F.inline(places)).where(F.col("metric").isNotNull()).groupBy(*by, "metric", "share", "n", "x").agg(
         F.count(F.lit(1)).alias("_rows")
     )
     group = Window.partitionBy(*by, "metric", "share")

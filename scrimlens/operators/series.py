@@ -7,7 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from scrimlens.functions.expressions import column
-from scrimlens.operators.quantiles import exact_medians
 
 BONUS_FACTOR = 1.7
 
@@ -85,40 +84,50 @@ def rating_deltas(
     )
 
 
+def _tallied(deltas: DataFrame, entity: str) -> DataFrame:
+    """Steps counted per kind and amount, with the median amount of each kind alongside.
+
+    Rating amounts are small whole numbers, so an entity has few distinct ones
+    however long its series is; windows only ever see those.
+    """
+    tally = deltas.groupBy(entity, "kind", "amount").agg(F.count(F.lit(1)).alias("times"))
+    whole = Window.partitionBy(entity, "kind")
+    upto = F.sum("times").over(whole.orderBy("amount").rowsBetween(Window.unboundedPreceding, 0))
+    counted = tally.withColumns({"_upto": upto, "_n": F.sum("times").over(whole)})
+    low, high = F.floor((F.col("_n") - 1) / 2) + 1, F.floor(F.col("_n") / 2) + 1
+
+    def at(rank: Column) -> Column:
+        inside = (F.col("_upto") - F.col("times") < rank) & (F.col("_upto") >= rank)
+        return F.max(F.when(inside, F.col("amount"))).over(whole)
+
+    return counted.select(entity, "kind", "amount", "times", ((at(low) + at(high)) / 2.0).alias("median"))
+
+
+def _is_bonus() -> Column:
+    return (F.col("kind") == "gain") & (F.col("median") != 0) & (F.col("amount") >= F.col("median") * F.lit(BONUS_FACTOR))
+
+
 def rating_progress(points: DataFrame, deltas: DataFrame, entity: str = "puuid") -> DataFrame:
     """Median gain per win and loss per defeat, counted bonus wins, and whether both are measurable.
 
     The medians run over all wins, bonus ones included.
     """
     sized = points.groupBy(entity).agg(F.count(F.lit(1)).alias("points"))
-    measured = deltas.where(F.col("amount").isNotNull())
-    medians = exact_medians(measured, [entity, "kind"], "amount").groupBy(entity).agg(*[
-        F.max(F.when(F.col("kind") == k, F.col(v))).alias(name)
-        for k, v, name in (("gain", "median", "gain_median"), ("loss", "median", "loss_median"))
-    ])
-    counts = deltas.groupBy(entity).agg(*[
-        F.count(F.when(F.col("kind") == k, 1)).alias(name)
-        for k, name in (("gain", "gains"), ("loss", "losses"), ("ambiguous", "ambiguous"))
-    ])
-    bonuses = bonus_gains(deltas, entity, medians).groupBy(entity).agg(F.sum("times").alias("bonus_gains"))
-    zero = F.lit(0)
-    return (
-        sized.join(counts, entity, "left").join(medians, entity, "left").join(bonuses, entity, "left")
-        .withColumns({c: F.coalesce(c, zero) for c in ("gains", "losses", "ambiguous", "bonus_gains")})
-        .withColumn("measurable", (F.col("points") >= 2) & (F.col("gains") > 0) & (F.col("losses") > 0))
+    of = lambda kind, value: F.when(F.col("kind") == kind, F.col(value))
+    found = _tallied(deltas, entity).groupBy(entity).agg(
+        F.max(of("gain", "median")).alias("gain_median"), F.max(of("loss", "median")).alias("loss_median"),
+        F.sum(of("gain", "times")).alias("gains"), F.sum(of("loss", "times")).alias("losses"),
+        F.sum(of("ambiguous", "times")).alias("ambiguous"), F.sum(F.when(_is_bonus(), F.col("times"))).alias("bonus_gains"),
     )
+    counts = ("gains", "losses", "ambiguous", "bonus_gains")
+    return sized.join(found, entity, "left").withColumns(
+        {c: F.coalesce(c, F.lit(0)) for c in counts}
+    ).withColumn("measurable", (F.col("points") >= 2) & (F.col("gains") > 0) & (F.col("losses") > 0))
 
 
-def bonus_gains(deltas: DataFrame, entity: str = "puuid", medians: DataFrame | None = None) -> DataFrame:
+def bonus_gains(deltas: DataFrame, entity: str = "puuid") -> DataFrame:
     """Distinct gains of at least 1.7 times a non-zero median gain: (entity, amount, times)."""
-    gains = deltas.where(F.col("kind") == "gain")
-    if medians is None:
-        medians = exact_medians(gains, [entity], "amount").withColumnRenamed("median", "gain_median")
-    counted = gains.groupBy(entity, "amount").agg(F.count(F.lit(1)).alias("times"))
-    limit = F.col("gain_median") * F.lit(BONUS_FACTOR)
-    return counted.join(medians.select(entity, "gain_median"), entity).where(
-        (F.col("gain_median") != 0) & (F.col("amount") >= limit)
-    ).drop("gain_median")
+    return _tallied(deltas, entity).where(_is_bonus()).select(entity, "amount", "times")
 
 
 def by_day(ts: Column | str) -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from scrimlens.operators.metrics import MEAN, SHARE, Metric
 
@@ -44,15 +44,34 @@ def _long(wide: DataFrame, keep: Sequence[str], metrics: Sequence[Metric], tags:
     return wide.select(*keep, F.inline(F.array(*rows)))
 
 
-def summarize(df: DataFrame, by: Sequence[str], metrics: Sequence[Metric]) -> DataFrame:
-    """Long summary: by…, group_n, metric, sense, kind, n, mean, sd, hits."""
+def _main_only(wide: DataFrame, entity: str, role: str, rows: Column) -> DataFrame:
+    """The most played assigned role of each entity, ties to the first name.
+
+    Chosen among summary rows (one per entity and role), so the facts need
+    neither a second scan nor a join.
+    """
+    order = Window.partitionBy(entity).orderBy(rows.desc(), F.col(role))
+    ranked = wide.where(F.col(role) != "").withColumn("_place", F.row_number().over(order))
+    return ranked.where(F.col("_place") == 1).drop("_place")
+
+
+def summarize(
+    df: DataFrame, by: Sequence[str], metrics: Sequence[Metric], main: tuple[str, str] | None = None,
+) -> DataFrame:
+    """Long summary: by…, group_n, metric, sense, kind, n, mean, sd, hits.
+
+    ``main=(entity, role)`` keeps each entity's main role only.
+    """
     columns = [c for m in metrics for c in _summary_columns(m, m.value(), "")]
     wide = df.groupBy(*by).agg(F.count(F.lit(1)).alias("group_n"), *columns)
+    if main:
+        wide = _main_only(wide, *main, F.col("group_n"))
     return _long(wide, [*by, "group_n"], metrics, [""])
 
 
 def summarize_sides(
-    df: DataFrame, by: Sequence[str], metrics: Sequence[Metric], side_a: Column, side_b: Column
+    df: DataFrame, by: Sequence[str], metrics: Sequence[Metric], side_a: Column, side_b: Column,
+    main: tuple[str, str] | None = None,
 ) -> DataFrame:
     """Both sides of a comparison next to each other, from a single aggregation.
 
@@ -67,6 +86,8 @@ def summarize_sides(
         for tag, side in (("_a", side_a), ("_b", side_b)):
             columns += _summary_columns(m, F.when(side, m.value()), tag)
     wide = df.groupBy(*by).agg(*columns)
+    if main:
+        wide = _main_only(wide, *main, F.col("group_n_a") + F.col("group_n_b"))
     return _long(wide, [*by, "group_n_a", "group_n_b"], metrics, ["_a", "_b"])
 
 

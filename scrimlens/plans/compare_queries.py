@@ -121,8 +121,8 @@ def _recent_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    own = compare.in_main_role(_recent_facts(spark, sf_dir), "c_nationkey", "c_mktsegment")
-    return compare.compare_outcomes(own, ["c_nationkey", "c_mktsegment"], [*ORDER_METRICS, URGENT], WON)
+    return compare.compare_outcomes(
+        _recent_facts(spark, sf_dir), _SPLIT_KEYS, [*ORDER_METRICS, URGENT], WON, main=("c_nationkey", "c_mktsegment"))
 
 
 _SQL_MAIN = f"""{SQL_CUSTOMER_FACTS},
@@ -176,8 +176,7 @@ def _advice_sql() -> str:
 def peer_priorities(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every customer in its main priority class against all other customers of that class."""
     facts = order_facts(spark, sf_dir)
-    own = compare.in_main_role(facts, "o_custkey", "o_orderpriority")
-    report = peers.compare_to_peers(own, facts, "o_custkey", "o_orderpriority", ORDER_METRICS)
+    report = peers.compare_to_peers(facts, facts, "o_custkey", "o_orderpriority", ORDER_METRICS, main_role=True)
     return _numbers(report, ["o_custkey", "o_orderpriority"], F.col("group_n_b").cast("bigint").alias("peer_rows"),
                     F.col("peers").cast("bigint").alias("peers"), "standing", "guidance")
 

@@ -63,7 +63,8 @@ def coaching_priorities(matches: DataFrame, peers: DataFrame, as_of: When, days:
     ``scope="lake"`` takes everybody else of the role in the peer table,
     ``"own_matches"`` only the others of the player's own matches.
     """
-    own = _played(_facts(matches, as_of, days, solo_only, player), role)
+    own = with_role(_facts(matches, as_of, days, solo_only, player), "team_position", role)
+    judging["main_role"] = role is None
     pool = with_role(_facts(peers, as_of, days, solo_only, None), "team_position", role)
     if scope == "own_matches":
         return peer_reports.compare_to_match_peers(
@@ -76,8 +77,9 @@ def coaching_priorities(matches: DataFrame, peers: DataFrame, as_of: When, days:
 
 def win_loss_split(matches: DataFrame, as_of: When, days: int = 90, role: str | None = None, solo_only: bool = True,
                    player: str | None = None, **judging) -> DataFrame:
-    own = _played(_facts(matches, as_of, days, solo_only, player), role)
-    return compare.compare_outcomes(own, ["puuid", "team_position"], OUTCOME_METRICS, "win", **judging)
+    own = with_role(_facts(matches, as_of, days, solo_only, player), "team_position", role)
+    main = None if role else ("puuid", "team_position")
+    return compare.compare_outcomes(own, ["puuid", "team_position"], OUTCOME_METRICS, "win", main=main, **judging)
 
 
 def win_loss_sample(matches: DataFrame, as_of: When, days: int = 90, role: str | None = None, solo_only: bool = True,

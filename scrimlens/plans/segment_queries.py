@@ -10,7 +10,7 @@ from scrimlens.operators import quantiles, segments
 from scrimlens.operators.metrics import Metric
 from scrimlens.operators.summarize import coverage as coverage_of
 from scrimlens.plans.tables import (
-    AS_OF, DAYS, EVENTS_AS_OF, ORDER_METRICS, SQL_CUSTOMER_FACTS, SQL_FACTS, order_facts, shown, sql_shown, table,
+    AS_OF, DAYS, EVENTS_AS_OF, ORDER_METRICS, SQL_CUSTOMER_FACTS, SQL_FACTS, order_facts, shown, spread, sql_shown, table,
 )
 
 WON, DECIDED = "o_orderstatus = 'F'", "o_orderstatus <> 'P'"
@@ -105,7 +105,7 @@ def peer_percentiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     sizes = lines.groupBy("l_returnflag").agg(
         F.count(F.lit(1)).alias("observations"), F.count_distinct("l_suppkey").alias("suppliers"))
     found = quantiles.exact_quantiles(
-        lines, ["l_returnflag"], ["l_extendedprice", "l_quantity", "l_discount"], [0.25, 0.5, 0.75])
+        spread(lines), ["l_returnflag"], ["l_extendedprice", "l_quantity", "l_discount"], [0.25, 0.5, 0.75])
     return found.join(sizes, "l_returnflag").select(
         "l_returnflag", "observations", "suppliers", "metric", "share", "n", shown("value").alias("value"))
 
