@@ -14,8 +14,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 from scrimlens.functions import stats
 from scrimlens.functions.expressions import column, share_pct
 from scrimlens.functions.filters import moment, since
-from scrimlens.operators.fdr import reject, reject_small_families
+from scrimlens.operators import fdr
 from scrimlens.operators.metrics import SHARE, Metric
+from scrimlens.operators.sizes import settle
 from scrimlens.operators.summarize import summarize_sides
 
 MIN_PER_OUTCOME = 5
@@ -23,13 +24,16 @@ MIN_PER_OUTCOME = 5
 
 def judge(
     sides: DataFrame, family: Sequence[str], alpha: float = stats.ALPHA, decide_on_rounded: bool = False,
-    small_families: bool = True,
 ) -> DataFrame:
     """Add test, effect, direction and verdict to rows with n_a, mean_a, sd_a, hits_a and the same for b.
 
     ``family`` is the set of rows that the correction for multiple tests covers:
     one entity's metrics, never all entities together. Decisions use the exact
     p and d; ``decide_on_rounded`` takes p at 4 and d at 2 decimals instead.
+
+    A family has a few dozen rows at most, so it is packed into one row: tail
+    probabilities and the correction need no second exchange where the input
+    lies by family already, as it does after the summary.
     """
     c = F.col
     a = (c("mean_a"), c("sd_a"), c("n_a"))
@@ -37,22 +41,33 @@ def judge(
     t, dof, flat_t = stats.welch(*a, *b)
     z, flat_z = stats.proportions(c("hits_a"), c("n_a"), c("hits_b"), c("n_b"))
     is_share = c("kind") == SHARE
+    d = stats.cohen_d(*a, *b)
     tested = (
         sides.where(c("mean_a").isNotNull() & c("mean_b").isNotNull())
         .withColumns({
             "stat": F.when(is_share, z).otherwise(t),
             "dof": F.when(~is_share, dof),
             "_flat": F.when(is_share, flat_z).otherwise(flat_t),
-            "d": stats.cohen_d(*a, *b),
+            "d": F.round(d, 2) if decide_on_rounded else d,
             "delta": c("mean_a") - c("mean_b"),
             "delta_pct": stats.delta_pct(c("mean_a"), c("mean_b")),
         })
-        .withColumn("p", F.coalesce(c("_flat"), stats.two_sided_p(c("stat"), c("dof"))))
     )
-    if decide_on_rounded:
-        tested = tested.withColumns({"p": F.round("p", 4), "d": F.round("d", 2)})
-    rejecting = reject_small_families if small_families else reject
-    return rejecting(tested, family, "p", alpha).drop("_flat").withColumns({
+    rest = [x for x in tested.columns if x not in family]
+    packed = tested.groupBy(*family).agg(F.collect_list(F.struct(*rest)).alias("_rows"))
+    tails = packed.withColumn("_tails", stats.two_sided_ps("_rows.stat", "_rows.dof"))
+
+    def p_value(row: Column, tail: Column) -> Column:
+        p = F.coalesce(row["_flat"], tail)
+        return F.round(p, 4) if decide_on_rounded else p
+
+    ps = tails.withColumn("_ps", F.zip_with("_rows", "_tails", p_value))
+    limited = ps.withColumn("_limit", fdr.family_limit(c("_ps"), alpha))
+    unpacked = limited.select(*family, "_limit", F.inline(F.arrays_zip("_rows", "_ps")))
+    judged = unpacked.select(
+        *family, *[c(f"_rows.{x}").alias(x) for x in rest if x != "_flat"], c("_ps").alias("p"),
+        F.coalesce(c("_ps") <= c("_limit"), F.lit(False)).alias("significant"))
+    return judged.withColumns({
         "magnitude": stats.magnitude(c("d")),
         "direction": stats.direction(c("delta"), c("sense")),
         "verdict": stats.verdict(c("significant"), c("p"), alpha),
@@ -154,6 +169,7 @@ def counts_vs_rest(
     outer = list(within) or ["_all"]
     counts = counts if within else counts.withColumn("_all", F.lit(0))
     totals = counts.groupBy(*outer).agg(F.sum("n").alias("_n"), F.sum("hits").alias("_hits"))
+    totals = totals if within else F.broadcast(totals)  # a single row
     against = counts.join(totals, outer).where(F.col("n") >= least).withColumns({
         "rest_n": F.col("_n") - F.col("n"), "rest_hits": F.col("_hits") - F.col("hits"),
     })
@@ -163,7 +179,7 @@ def counts_vs_rest(
         "rest_pct": share_pct(F.col("rest_hits"), F.col("rest_n")),
         "stat": z, "_flat": flat,
     }).withColumn("p", F.coalesce(F.col("_flat"), stats.two_sided_p(F.col("stat"), F.lit(None).cast("double"))))
-    judged = reject(tested, outer, "p", alpha)
+    judged = fdr.reject(settle(tested), within, "p", alpha)
     return judged.withColumn("verdict", stats.verdict(F.col("significant"), F.col("p"), alpha)).drop(
         "_all", "_n", "_hits", "_flat"
     )

@@ -1,7 +1,9 @@
-"""Broadcast only what has been measured."""
+"""Broadcast only what has been measured; compute once what several branches read."""
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import DataFrame, functions as F
 
 MAX_BROADCAST_ROWS = 1_000_000
@@ -15,3 +17,17 @@ def fits(df: DataFrame, most: int = MAX_BROADCAST_ROWS) -> bool:
 def broadcast_if_small(df: DataFrame, most: int = MAX_BROADCAST_ROWS) -> tuple[DataFrame, bool]:
     """(frame, True) with a broadcast hint when it fits, else (frame, False) for an ordinary join."""
     return (F.broadcast(df), True) if fits(df, most) else (df, False)
+
+
+def settle(df: DataFrame) -> DataFrame:
+    """Write a summary that several branches read to the shared checkpoint folder, so it is computed once.
+
+    The folder is the session's ``spark.checkpoint.dir`` and outlives executors.
+    Only local mode may choose its own; a cluster without one recomputes.
+    """
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        if not context.master.startswith("local"):
+            return df
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="scrimlens-checkpoints-"))
+    return df.checkpoint()
