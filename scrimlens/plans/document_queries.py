@@ -28,7 +28,8 @@ def _part() -> Column:
 
 
 def _match_id() -> Column:
-    return F.concat(F.lit("LI"), F.concat_ws("_", "l_linenumber", "l_orderkey", "l_partkey", "l_suppkey"))
+    day = F.datediff(F.col("l_shipdate").cast("date"), F.lit("1970-01-01").cast("date"))
+    return F.concat(F.lit("LI"), F.concat_ws("_", "l_linenumber", "l_orderkey", "l_partkey", "l_suppkey", day))
 
 
 def landed_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -160,7 +161,8 @@ QUERIES = {f.__name__: f for f in (
     flatten_documents, peer_flatten, raw_kda_by_champion, timeline_frames, minute_benchmarks, rival_pairs, frames_dedup)}
 
 _ROLE = "CASE WHEN l_linestatus = 'O' THEN CASE WHEN l_linenumber = 7 THEN '' ELSE 'JUNGLE' END ELSE 'TOP' END"
-_DOCS = f"""d AS (SELECT *, 'LI' || l_linenumber || '_' || l_orderkey || '_' || l_partkey || '_' || l_suppkey AS match_id,
+_DOCS = f"""d AS (SELECT *, 'LI' || l_linenumber || '_' || l_orderkey || '_' || l_partkey || '_' || l_suppkey
+  || '_' || date_diff('day', DATE '1970-01-01', CAST(l_shipdate AS DATE)) AS match_id,
   {_ROLE} AS team_position, CASE l_returnflag WHEN 'R' THEN 420 WHEN 'A' THEN 440 ELSE 0 END AS queue_id,
   round(CAST(CAST(l_quantity AS BIGINT) * 60 + l_linenumber * 7 AS DOUBLE) / 60.0e0, 1) AS duration_min FROM lineitem),
 m AS (SELECT *, 'S' || l_suppkey AS puuid, l_discount > 0.05e0 AS win, TRUE AS full_doc, 1 AS who, 'P' || l_partkey AS other FROM d
