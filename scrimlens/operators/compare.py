@@ -17,7 +17,7 @@ from scrimlens.functions.filters import moment, since
 from scrimlens.operators import fdr
 from scrimlens.operators.metrics import SHARE, Metric
 from scrimlens.operators.sizes import settle
-from scrimlens.operators.summarize import summarize_sides
+from scrimlens.operators.summarize import main_only, summarize_sides
 
 MIN_PER_OUTCOME = 5
 
@@ -138,10 +138,14 @@ def compare_outcomes(
     return judge(ready, by, **judging).withColumn("guidance", outcome_guidance())
 
 
-def outcome_sample(df: DataFrame, by: Sequence[str], outcome: str, least: int = MIN_PER_OUTCOME) -> DataFrame:
+def outcome_sample(
+    df: DataFrame, by: Sequence[str], outcome: str, least: int = MIN_PER_OUTCOME, main: tuple[str, str] | None = None,
+) -> DataFrame:
     """Wins and losses per entity and whether they suffice for the split."""
     won = F.coalesce(F.expr(outcome), F.lit(False))
     counted = df.groupBy(*by).agg(F.count(F.when(won, 1)).alias("wins"), F.count(F.when(~won, 1)).alias("losses"))
+    if main:
+        counted = main_only(counted, *main, F.col("wins") + F.col("losses"))
     return counted.withColumn(
         "status", F.when(F.least("wins", "losses") >= least, "ok").otherwise("insufficient_sample")
     )
@@ -215,11 +219,6 @@ def main_role(df: DataFrame, entity: str, role: str) -> DataFrame:
     return counts.groupBy(entity).agg(F.min_by(role, F.struct(-F.col("_n"), F.col(role))).alias(role))
 
 
-def in_main_role(df: DataFrame, entity: str, role: str) -> DataFrame:
-    """Only the rows an entity played in its main role."""
-    return df.join(main_role(df, entity, role), [entity, role], "left_semi")
-
-
 # --- what may be said about a row ------------------------------------------------
 
 # Reporting advice, one text per code.

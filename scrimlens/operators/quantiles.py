@@ -11,6 +11,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from scrimlens.operators.sizes import small_side
+
 ACCURACY = 10_000
 
 
@@ -29,7 +31,9 @@ def exact_quantiles(
     values = df.select(*by, *[F.col(c).cast("double").alias(c) for c in columns])
     sketch = [F.percentile_approx(c, [*lows, *highs], accuracy).alias(f"{c}__edges") for c in columns]
     counts = [F.count(c).alias(f"{c}__n") for c in columns]
-    brackets = values.groupBy(*by).agg(*sketch, *counts)
+    if not by:
+        raise ValueError("exact_quantiles needs at least one grouping column")
+    brackets = small_side(values.groupBy(*[F.col(b).alias(f"_{b}") for b in by]).agg(*sketch, *counts))
 
     # One join delivers the bracket to every row, so both uses of it see the same numbers.
     # NULL stands for "below the bracket"; groups smaller than the sketch are taken whole.
@@ -44,9 +48,7 @@ def exact_quantiles(
         ))
 
     places = F.array(*[place(c, i) for c in columns for i in range(len(shares))])
-    hit = values.join(_null_safe(brackets, by), [F.col(b).eqNullSafe(F.col(f"_{b}")) for b in by]) if by else None
-    if hit is None:
-        raise ValueError("exact_quantiles needs at least one grouping column")
+    hit = values.join(brackets, [F.col(b).eqNullSafe(F.col(f"_{b}")) for b in by])
     counted = hit.select(*by, F.inline(places)).where(F.col("metric").isNotNull()).groupBy(*by, "metric", "share", "n", "x").agg(
         F.count(F.lit(1)).alias("_rows")
     )
@@ -68,10 +70,6 @@ def exact_quantiles(
     return found.withColumn("value", F.col("_low") + fraction * (F.col("_high") - F.col("_low"))).drop("_low", "_high")
 
 
-def _null_safe(brackets: DataFrame, by: Sequence[str]) -> DataFrame:
-    return brackets.withColumnsRenamed({b: f"_{b}" for b in by})
-
-
 def exact_medians(df: DataFrame, by: Sequence[str], column: str, upper: bool = False) -> DataFrame:
     """(by…, n, median); an even group gives the mean of its two middle values, or the upper one."""
     found = exact_quantiles(df, by, [column], [0.5], upper)

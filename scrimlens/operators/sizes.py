@@ -31,3 +31,13 @@ def settle(df: DataFrame) -> DataFrame:
             return df
         context.setCheckpointDir(tempfile.mkdtemp(prefix="scrimlens-checkpoints-"))
     return df.checkpoint()
+
+
+def small_side(df: DataFrame, most: int = 100_000) -> DataFrame:
+    """The small side of a join against facts: settled, counted, and broadcast if it is as small as expected.
+
+    Left alone, the planner may shuffle all facts by a key with few values
+    before it learns how small the other side is.
+    """
+    settled = settle(df)
+    return broadcast_if_small(settled, most)[0]

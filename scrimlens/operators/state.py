@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from scrimlens.functions.expressions import ranked_queue_label, share_pct
 from scrimlens.operators.quantiles import exact_medians
+from scrimlens.operators.sizes import small_side
 
 # The refresh age of a cutoff, the kept ids per key, the leagues and the tiers with a gap.
 CUTOFF_MAX_AGE_SECONDS = 6 * 3600
@@ -92,7 +93,7 @@ def cutoff_gaps(players: DataFrame, cutoffs: DataFrame, platform: str, tier: str
     """Every player against every league of its platform; the gap exists only from the apex tiers on."""
     in_apex = F.upper(tier).isin(*APEX_TIERS)
     gap = F.greatest(F.col("cutoff") - F.coalesce(points, F.lit(0)), F.lit(0))
-    return players.join(cutoffs, platform).withColumn("missing", F.when(in_apex, gap))
+    return players.join(small_side(cutoffs), platform).withColumn("missing", F.when(in_apex, gap))
 
 
 def season_record(df: DataFrame, by: Sequence[str], won: Column, lost: Column) -> DataFrame:

@@ -44,7 +44,7 @@ def _long(wide: DataFrame, keep: Sequence[str], metrics: Sequence[Metric], tags:
     return wide.select(*keep, F.inline(F.array(*rows)))
 
 
-def _main_only(wide: DataFrame, entity: str, role: str, rows: Column) -> DataFrame:
+def main_only(wide: DataFrame, entity: str, role: str, rows: Column) -> DataFrame:
     """The most played assigned role of each entity, ties to the first name.
 
     Chosen among summary rows (one per entity and role), so the facts need
@@ -65,7 +65,7 @@ def summarize(
     columns = [c for m in metrics for c in _summary_columns(m, m.value(), "")]
     wide = df.groupBy(*by).agg(F.count(F.lit(1)).alias("group_n"), *columns)
     if main:
-        wide = _main_only(wide, *main, F.col("group_n"))
+        wide = main_only(wide, *main, F.col("group_n"))
     return _long(wide, [*by, "group_n"], metrics, [""])
 
 
@@ -87,7 +87,7 @@ def summarize_sides(
             columns += _summary_columns(m, F.when(side, m.value()), tag)
     wide = df.groupBy(*by).agg(*columns)
     if main:
-        wide = _main_only(wide, *main, F.col("group_n_a") + F.col("group_n_b"))
+        wide = main_only(wide, *main, F.col("group_n_a") + F.col("group_n_b"))
     return _long(wide, [*by, "group_n_a", "group_n_b"], metrics, ["_a", "_b"])
 
 

@@ -28,12 +28,6 @@ def _facts(matches: DataFrame, as_of: When, days: float, solo_only: bool, player
     return solo(scoped(matches, player), solo_only).where(since("played_at", as_of, days))
 
 
-def _played(facts: DataFrame, role: str | None) -> DataFrame:
-    """The asked role, or each player's main one."""
-    assigned = with_role(facts, "team_position", role)
-    return assigned if role else compare.in_main_role(assigned, "puuid", "team_position")
-
-
 def window_trends(matches: DataFrame, as_of: When, days: int = 30, solo_only: bool = True, player: str | None = None,
                   by_role: bool = False, **judging) -> DataFrame:
     """Recent window against the one before: win rate and 22 metrics per player."""
@@ -85,8 +79,9 @@ def win_loss_split(matches: DataFrame, as_of: When, days: int = 90, role: str |
 def win_loss_sample(matches: DataFrame, as_of: When, days: int = 90, role: str | None = None, solo_only: bool = True,
                     player: str | None = None) -> DataFrame:
     """Which players have enough wins and losses for the split."""
-    own = _played(_facts(matches, as_of, days, solo_only, player), role)
-    return compare.outcome_sample(own, ["puuid", "team_position"], "win")
+    own = with_role(_facts(matches, as_of, days, solo_only, player), "team_position", role)
+    main = None if role else ("puuid", "team_position")
+    return compare.outcome_sample(own, ["puuid", "team_position"], "win", main=main)
 
 
 def laning_benchmarks(frames: DataFrame, matches: DataFrame, as_of: When, days: int = 90, role: str | None = None,

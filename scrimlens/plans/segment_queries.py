@@ -8,6 +8,7 @@ from scrimlens.functions.expressions import platform_of
 from scrimlens.functions.filters import since
 from scrimlens.operators import quantiles, segments
 from scrimlens.operators.metrics import Metric
+from scrimlens.operators.sizes import small_side
 from scrimlens.operators.summarize import coverage as coverage_of
 from scrimlens.plans.tables import (
     AS_OF, DAYS, EVENTS_AS_OF, ORDER_METRICS, SQL_CUSTOMER_FACTS, SQL_FACTS, order_facts, shown, spread, sql_shown, table,
@@ -121,7 +122,7 @@ def _percentile_sql() -> str:
 def state_vs_outcome(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders well above, well below or near their priority's mean price, against the outcome."""
     orders = table(spark, sf_dir, "orders")
-    mean = orders.groupBy("o_orderpriority").agg(F.avg("o_totalprice").alias("mean_price"))
+    mean = small_side(orders.groupBy("o_orderpriority").agg(F.avg("o_totalprice").alias("mean_price")))
     lead = orders.join(mean, "o_orderpriority").withColumn("lead", F.col("o_totalprice") - F.col("mean_price"))
     return segments.state_vs_outcome(lead, "lead", WON, 50000.0, ["o_orderpriority"]).select(
         "o_orderpriority", "state", "n", shown("win_pct", 1).alias("win_pct"))
