@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from scrimlens.llm.bpe import encode_documents
 from scrimlens.llm.exact import exact_dedup
 from scrimlens.llm.fingerprint import neighbour_fingerprints
+from scrimlens.llm.ngram_join import near_classes
 from scrimlens.llm.packing import pack
 
 
@@ -19,6 +20,10 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(_documents(spark, sf_dir), keep="max")
 
 
+def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_classes(_documents(spark, sf_dir), size=5, share=75, of=100)
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(_documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"), end_id=1, capacity=2048)
 
@@ -31,7 +36,7 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbour_fingerprints(_documents(spark, sf_dir))
 
 
-QUERIES = {q.__name__: q for q in (op1_exact_dedup, op3_packing, op5_byte_bpe, op10_fingerprints)}
+QUERIES = {q.__name__: q for q in (op1_exact_dedup, op2_ngram_join, op3_packing, op5_byte_bpe, op10_fingerprints)}
 
 SQL = {
     "op1_exact_dedup": """
