@@ -10,6 +10,7 @@ from scrimlens.llm.exact import exact_dedup
 from scrimlens.llm.fingerprint import neighbour_fingerprints
 from scrimlens.llm.ngram_join import near_classes
 from scrimlens.llm.packing import pack
+from scrimlens.llm.substrings import span_digests
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -32,11 +33,15 @@ def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_documents(_documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return span_digests(_documents(spark, sf_dir), window=20)
+
+
 def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbour_fingerprints(_documents(spark, sf_dir))
 
 
-QUERIES = {q.__name__: q for q in (op1_exact_dedup, op2_ngram_join, op3_packing, op5_byte_bpe, op10_fingerprints)}
+QUERIES = {q.__name__: q for q in (op1_exact_dedup, op2_ngram_join, op3_packing, op5_byte_bpe, op6_substring_dedup, op10_fingerprints)}
 
 SQL = {
     "op1_exact_dedup": """
