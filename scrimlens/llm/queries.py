@@ -4,13 +4,18 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from scrimlens.llm.bpe import encode_documents
 from scrimlens.llm.exact import exact_dedup
 from scrimlens.llm.fingerprint import neighbour_fingerprints
+from scrimlens.llm.html_text import extract
+from scrimlens.llm.language import identify
+from scrimlens.llm.licences import scan
 from scrimlens.llm.ngram_join import near_classes
 from scrimlens.llm.packing import pack
 from scrimlens.llm.substrings import span_digests
+from scrimlens.llm.toxicity import toxicity
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -29,6 +34,11 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(_documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"), end_id=1, capacity=2048)
 
 
+def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1
+    return identify(_documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"), held_out)
+
+
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_documents(_documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
@@ -37,11 +47,26 @@ def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return span_digests(_documents(spark, sf_dir), window=20)
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def op8_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents carry no paths: each is taken as the file source/thousand/fifty/id, so that a source is a tree of directories."""
+    number = F.col("doc_id")
+    path = F.concat_ws("/", F.coalesce("source", F.lit("unknown")), F.floor(number / 1000).cast("string"), F.floor(number / 50).cast("string"), number.cast("string"))
+    return scan(_documents(spark, sf_dir), path)
+
+
+def op9_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
 def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbour_fingerprints(_documents(spark, sf_dir))
 
 
-QUERIES = {q.__name__: q for q in (op1_exact_dedup, op2_ngram_join, op3_packing, op5_byte_bpe, op6_substring_dedup, op10_fingerprints)}
+QUERIES = {q.__name__: q for q in (op1_exact_dedup, op2_ngram_join, op3_packing, op4_language, op5_byte_bpe, op6_substring_dedup, op7_toxicity, op8_licences, op9_html_text, op10_fingerprints)}
 
 SQL = {
     "op1_exact_dedup": """
