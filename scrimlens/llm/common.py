@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,18 +29,30 @@ def id_out(column: str | Column) -> Column:
     return F.when(column != NO_ID, column)
 
 
-def settle(df: DataFrame) -> DataFrame:
-    """Cut the lineage with a checkpoint in the session's shared folder; a folder of our own only on one machine."""
-    spark = df.sparkSession
-    context = spark.sparkContext
+def _shared_folder(df: DataFrame) -> str:
+    """The session's checkpoint folder; one of our own only where none is set and all runs on one machine."""
+    context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        shared = spark.conf.get("spark.checkpoint.dir", None)
-        if shared is None and not context.master.startswith("local"):
+        shared = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if shared is None and not re.fullmatch(r"local(\[[^\]]*\])?", context.master):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         context.setCheckpointDir(shared or tempfile.mkdtemp(prefix="checkpoint-"))
+    return context.getCheckpointDir()
+
+
+def settle(df: DataFrame) -> DataFrame:
+    """Cut the lineage with a checkpoint in the shared folder."""
+    _shared_folder(df)
     return df.checkpoint()
 
 
+def written(df: DataFrame) -> DataFrame:
+    """Cut the lineage with a table of its own in the shared folder."""
+    path = f"{_shared_folder(df)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def block_count(docs: DataFrame, text: str, block_bytes: int) -> int:
     """In how many blocks of about `block_bytes` bytes of text the documents fall."""
     total = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0

@@ -44,7 +44,7 @@ def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return span_digests(_documents(spark, sf_dir), window=20)
+    return span_digests(_documents(spark, sf_dir), window=20).drop("spans")
 
 
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -66,11 +66,44 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbour_fingerprints(_documents(spark, sf_dir))
 
 
-QUERIES = {q.__name__: q for q in (op1_exact_dedup, op2_ngram_join, op3_packing, op4_language, op5_byte_bpe, op6_substring_dedup, op7_toxicity, op8_licences, op9_html_text, op10_fingerprints)}
+QUERIES = {
+    q.__name__: q
+    for q in (
+        op1_exact_dedup, op2_ngram_join, op3_packing, op4_language, op5_byte_bpe, op6_substring_dedup, op7_toxicity, op8_licences,
+        op9_html_text, op10_fingerprints)
+}
+
+_WORDS = "regexp_extract_all({text}, '[^\\x20\\x09-\\x0D]+')"
+_FOLDED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 SQL = {
     "op1_exact_dedup": """
         SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
                doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
         FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))""",
+    "op2_ngram_join": f"""
+        WITH RECURSIVE w AS (SELECT doc_id, {_WORDS.format(text=_FOLDED)} AS words FROM documents),
+        s AS (SELECT DISTINCT doc_id, unnest([array_to_string(words[i:i + 4], ' ') FOR i IN range(1, greatest(len(words) - 4, 1) + 1)]) AS gram
+              FROM w WHERE len(words) > 0),
+        sizes AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+        pairs AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS k FROM s a JOIN s b USING (gram)
+                  WHERE a.doc_id < b.doc_id GROUP BY a.doc_id, b.doc_id),
+        links AS (SELECT x, y FROM pairs JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y
+                  WHERE 100 * k >= 75 * (p.n + q.n - k)),
+        both_ways AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+        reached AS (SELECT doc_id AS x, doc_id AS y FROM documents
+                    UNION SELECT r.x, l.y FROM reached r JOIN both_ways l ON l.x = r.y)
+        SELECT r.x AS doc_id, coalesce(any_value(n), 0)::BIGINT AS n_shingles, min(r.y) AS component_id
+        FROM reached r LEFT JOIN sizes ON sizes.doc_id = r.x GROUP BY r.x""",
+    "op6_substring_dedup": f"""
+        WITH w AS (SELECT doc_id, {_WORDS.format(text="coalesce(text, '')")} AS words FROM documents),
+        places AS (SELECT doc_id, unnest(range(1, len(words) - 18)) AS i,
+                          unnest([array_to_string(words[i:i + 19], ' ') FOR i IN range(1, len(words) - 18)]) AS run FROM w WHERE len(words) >= 20),
+        found AS (SELECT doc_id, i, row_number() OVER (PARTITION BY run ORDER BY doc_id, i) > 1 AS later FROM places),
+        gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 20)) AS j FROM found WHERE later),
+        single AS (SELECT doc_id, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS j FROM w WHERE len(words) > 0),
+        kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY j) AS text FROM single ANTI JOIN gone USING (doc_id, j) GROUP BY doc_id),
+        removed AS (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id)
+        SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_removed, sha256(coalesce(text, '')) AS kept_sha256
+        FROM w LEFT JOIN removed USING (doc_id) LEFT JOIN kept USING (doc_id)""",
 }
