@@ -19,13 +19,17 @@ def moment(as_of: str | datetime, days_back: float = 0) -> Column:
     return F.lit(at.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp_ntz")
 
 
-def since(ts: Column | str, as_of: str | datetime, days: float) -> Column:
-    """Rolling lookback predicate. Pass ``"m.played_at"`` to qualify the column in a join."""
-    return column(ts) >= moment(as_of, days)
+def since(ts: Column | str, as_of: str | datetime, days: float, open_end: bool = False) -> Column:
+    """The last ``days`` days before ``as_of``, which itself is outside; ``open_end`` also takes what comes later.
+
+    Pass ``"m.played_at"`` to qualify the column in a join.
+    """
+    begun = column(ts) >= moment(as_of, days)
+    return begun if open_end else begun & (column(ts) < moment(as_of))
 
 
 def window_side(ts: Column | str, as_of: str | datetime, days: float) -> Column:
-    """``recent`` for the last N days before as_of (and anything later), else ``previous``."""
+    """``recent`` for the last N days before as_of, else ``previous``; filter to both windows first."""
     return F.when(since(ts, as_of, days), F.lit(RECENT)).otherwise(F.lit(PREVIOUS))
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from scrimlens.functions import stats
 from scrimlens.functions.expressions import column, share_pct
-from scrimlens.functions.filters import moment, since
+from scrimlens.functions.filters import since
 from scrimlens.operators import fdr
 from scrimlens.operators.metrics import SHARE, Metric
 from scrimlens.operators.sizes import settle
@@ -49,7 +49,7 @@ def judge(
             "dof": F.when(~is_share, dof),
             "_flat": F.when(is_share, flat_z).otherwise(flat_t),
             "d": F.round(d, 2) if decide_on_rounded else d,
-            "delta": c("mean_a") - c("mean_b"),
+            "delta": stats.difference(c("mean_a"), c("mean_b")),
             "delta_pct": stats.delta_pct(c("mean_a"), c("mean_b")),
         })
     )
@@ -85,7 +85,7 @@ def compare_windows(
     """
     wanted = [Metric("win_rate", kind=SHARE, source=outcome), *metrics] if outcome else list(metrics)
     recent = since(ts, as_of, days)
-    facts = df.where(F.col(ts) >= moment(as_of, 2 * days))
+    facts = df.where(since(ts, as_of, 2 * days))
     judged = judge(summarize_sides(facts, by, wanted, recent, ~recent), by, **judging)
     # The win rate is the window itself, so it has no coverage of its own.
     partial = (F.col("n_a") < F.col("group_n_a")) | (F.col("n_b") < F.col("group_n_b"))
@@ -100,7 +100,7 @@ def window_overview(
 ) -> DataFrame:
     """One row per entity: sizes and wins of both windows, the metric lists and a note code."""
     recent, won = since(ts, as_of, days), F.expr(outcome)
-    sizes = df.where(F.col(ts) >= moment(as_of, 2 * days)).groupBy(*by).agg(
+    sizes = df.where(since(ts, as_of, 2 * days)).groupBy(*by).agg(
         F.count(F.when(recent, 1)).alias("recent_n"), F.count(F.when(recent & won, 1)).alias("recent_wins"),
         F.count(F.when(~recent, 1)).alias("previous_n"), F.count(F.when(~recent & won, 1)).alias("previous_wins"),
     )
@@ -195,7 +195,7 @@ def pool_changes(
 ) -> DataFrame:
     """Per entity and segment: new, dropped or constant, and how the win rate moved (no correction)."""
     recent, won = since(ts, as_of, days), F.expr(outcome)
-    counts = df.where(F.col(ts) >= moment(as_of, 2 * days)).groupBy(*by, segment).agg(
+    counts = df.where(since(ts, as_of, 2 * days)).groupBy(*by, segment).agg(
         F.count(F.when(recent, 1)).alias("recent_n"), F.count(F.when(recent & won, 1)).alias("recent_wins"),
         F.count(F.when(~recent, 1)).alias("previous_n"), F.count(F.when(~recent & won, 1)).alias("previous_wins"),
     ).where(F.col("recent_n") + F.col("previous_n") >= min_games)
@@ -213,25 +213,19 @@ def pool_changes(
     }).drop("_flat")
 
 
-def main_role(df: DataFrame, entity: str, role: str) -> DataFrame:
-    """Most frequent assigned role per entity; ties go to the alphabetically first role."""
-    counts = df.where(F.col(role) != "").groupBy(entity, role).agg(F.count(F.lit(1)).alias("_n"))
-    return counts.groupBy(entity).agg(F.min_by(role, F.struct(-F.col("_n"), F.col(role))).alias(role))
-
-
 # --- what may be said about a row ------------------------------------------------
 
-# Reporting advice, one text per code.
+#: What follows from the rule behind each code.
 ADVICE = {
-    "claim_change": "May be stated as a real change.",
-    "watch_only": "Do not state this as a change: it fails the correction and may be chance. A lead to watch.",
-    "do_not_report": "Not distinguishable from chance; leave it out.",
-    "same_in_both": "Alike in wins and losses; rules this phase out as a cause.",
-    "drops_a_little": "Somewhat worse in losses, small effect; mention after the larger ones.",
-    "drops_clearly": "Clearly worse in losses; a candidate, but not proven to be the cause.",
-    "at_peer_level": "At the level of the peers; not a difference.",
-    "small_gap": "Real but small gap; a snapshot that says nothing about the trend.",
-    "real_gap": "Real and relevant gap; a snapshot that says nothing about the trend.",
+    "claim_change": "significant after correction: report",
+    "watch_only": "p below alpha, fails correction: keep watching",
+    "do_not_report": "p not below alpha: omit",
+    "same_in_both": "no significant effect, or |d| < 0.2",
+    "drops_a_little": "significant, 0.2 <= |d| < 0.5, association only",
+    "drops_clearly": "significant, |d| >= 0.5, association only",
+    "at_peer_level": "no significant gap, or |d| < 0.2",
+    "small_gap": "significant gap, 0.2 <= |d| < 0.5, one point in time",
+    "real_gap": "significant gap, |d| >= 0.5, one point in time",
 }
 
 

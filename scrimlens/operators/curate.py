@@ -38,7 +38,7 @@ def promote(documents: DataFrame, entity: str = "puuid", text: str = "document",
 def unreadable(documents: DataFrame, text: str = "document") -> DataFrame:
     """Documents that :func:`promote` cannot place."""
     doc = F.from_json(text, schemas.MATCH_HEADER)
-    return documents.where(doc["metadata"]["matchId"].isNull())
+    return documents.where(F.coalesce(doc["metadata"]["matchId"].isNull(), F.lit(True)))
 
 
 def promote_timelines(documents: DataFrame, raw_matches: DataFrame, text: str = "document",

@@ -130,11 +130,6 @@ def bonus_gains(deltas: DataFrame, entity: str = "puuid") -> DataFrame:
     return _tallied(deltas, entity).where(_is_bonus()).select(entity, "amount", "times")
 
 
-def by_day(ts: Column | str) -> Column:
-    """Day slice of a timestamp."""
-    return column(ts).cast("date")
-
-
 def by_epoch_day(seconds: Column | str) -> Column:
     """Day slice of an epoch-second value."""
     return F.floor(column(seconds) / 86400)

@@ -23,13 +23,14 @@ def settle(df: DataFrame) -> DataFrame:
     """Write a summary that several branches read to the shared checkpoint folder, so it is computed once.
 
     The folder is the session's ``spark.checkpoint.dir`` and outlives executors.
-    Only local mode may choose its own; a cluster without one recomputes.
+    Only local mode may choose its own; on a cluster the setting is needed.
     """
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        if not context.master.startswith("local"):
-            return df
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="scrimlens-checkpoints-"))
+        shared = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if shared is None and not context.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        context.setCheckpointDir(shared or tempfile.mkdtemp(prefix="scrimlens-checkpoints-"))
     return df.checkpoint()
 
 

@@ -90,10 +90,12 @@ def stale_keys(current: DataFrame, wanted: DataFrame, key: str, now: Column, upd
 
 
 def cutoff_gaps(players: DataFrame, cutoffs: DataFrame, platform: str, tier: str, points: str) -> DataFrame:
-    """Every player against every league of its platform; the gap exists only from the apex tiers on."""
+    """Every player against every league of its platform; the gap exists only from the apex tiers on. A platform without cutoffs
+    yet gives one row with neither league nor gap."""
     in_apex = F.upper(tier).isin(*APEX_TIERS)
     gap = F.greatest(F.col("cutoff") - F.coalesce(points, F.lit(0)), F.lit(0))
-    return players.join(small_side(cutoffs), platform).withColumn("missing", F.when(in_apex, gap))
+    gap = F.when(F.col("cutoff").isNotNull(), gap)
+    return players.join(small_side(cutoffs), platform, "left").withColumn("missing", F.when(in_apex, gap))
 
 
 def season_record(df: DataFrame, by: Sequence[str], won: Column, lost: Column) -> DataFrame:

@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from scrimlens.functions import stats
-from scrimlens.functions.filters import moment
+from scrimlens.functions.filters import since
 from scrimlens.operators import compare, fdr, peers
 from scrimlens.operators.metrics import SHARE, Metric
+from scrimlens.operators.state import newest_per_entity
 from scrimlens.operators.summarize import summarize
 from scrimlens.plans.tables import (
     AS_OF, DAYS, EVENTS_AS_OF, LATE_AS_OF, ORDER_METRICS, SQL_CUSTOMER_FACTS, SQL_FACTS, order_facts, shown,
@@ -64,7 +65,8 @@ def _windows(spark: SparkSession, sf_dir: str, by: str, as_of: str, days: int) -
 def _windows_sql(by: str, as_of: str, days: int) -> str:
     recent = f"o_orderdate >= TIMESTAMP '{as_of}' - INTERVAL {days} DAY"
     return f"""WITH {SQL_FACTS},
-picked AS (SELECT * FROM facts WHERE {DECIDED} AND o_orderdate >= TIMESTAMP '{as_of}' - INTERVAL {2 * days} DAY),
+picked AS (SELECT * FROM facts WHERE {DECIDED} AND o_orderdate >= TIMESTAMP '{as_of}' - INTERVAL {2 * days} DAY
+  AND o_orderdate < TIMESTAMP '{as_of}'),
 {sql_sides('picked', [by], [_WIN_SQL, *_ORDER_SQL], recent, f'NOT ({recent})')},
 {sql_judged([by])}
 SELECT {_sql_numbers([by], _PARTIAL, _ENOUGH, _TREND_GUIDANCE)} FROM judged"""
@@ -117,7 +119,7 @@ FROM sizes LEFT JOIN found USING (o_custkey)"""
 
 def _recent_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     facts = order_facts(spark, sf_dir, customers=True)
-    return facts.where(DECIDED).where(F.col("o_orderdate") >= moment(LATE_AS_OF, SPLIT_DAYS))
+    return facts.where(DECIDED).where(since("o_orderdate", LATE_AS_OF, SPLIT_DAYS))
 
 
 def _split(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -126,7 +128,8 @@ def _split(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _SQL_MAIN = f"""{SQL_CUSTOMER_FACTS},
-recent AS (SELECT * FROM facts WHERE {DECIDED} AND o_orderdate >= TIMESTAMP '{LATE_AS_OF}' - INTERVAL {SPLIT_DAYS} DAY),
+recent AS (SELECT * FROM facts WHERE {DECIDED} AND o_orderdate >= TIMESTAMP '{LATE_AS_OF}' - INTERVAL {SPLIT_DAYS} DAY
+  AND o_orderdate < TIMESTAMP '{LATE_AS_OF}'),
 main AS (SELECT c_nationkey, c_mktsegment FROM recent WHERE c_mktsegment <> '' GROUP BY 1, 2
   QUALIFY row_number() OVER (PARTITION BY c_nationkey ORDER BY count(*) DESC, c_mktsegment) = 1),
 own AS (SELECT recent.* FROM recent JOIN main USING (c_nationkey, c_mktsegment))"""
@@ -156,8 +159,6 @@ def guidance_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def effect_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Metrics of each nation by absolute effect, largest first."""
-    from scrimlens.operators.state import newest_per_entity
-
     rows = _split(spark, sf_dir)
     ordered = newest_per_entity(rows, ["c_nationkey"], [F.abs("d").desc_nulls_last(), F.asc("metric")], len(ORDER_METRICS) + 1)
     return ordered.select(
@@ -307,7 +308,7 @@ def _pool_sql() -> str:
     return f"""WITH c AS (SELECT user_id, event_type, count(*) FILTER ({recent}) AS recent_n,
   count(*) FILTER ({recent} AND value > 50) AS recent_wins, count(*) FILTER (NOT {recent}) AS previous_n,
   count(*) FILTER (NOT {recent} AND value > 50) AS previous_wins
-  FROM events WHERE ts >= TIMESTAMP '{EVENTS_AS_OF}' - INTERVAL 30 DAY GROUP BY 1, 2 HAVING count(*) >= 3),
+  FROM events WHERE ts >= TIMESTAMP '{EVENTS_AS_OF}' - INTERVAL 30 DAY AND ts < TIMESTAMP '{EVENTS_AS_OF}' GROUP BY 1, 2 HAVING count(*) >= 3),
 a AS (SELECT *, 100.0e0 * recent_wins / nullif(recent_n, 0) AS ra, 100.0e0 * previous_wins / nullif(previous_n, 0) AS rb,
   CASE WHEN recent_n > 0 AND previous_n > 0 THEN (recent_wins + previous_wins) * 1.0e0 / (recent_n + previous_n) END AS pooled FROM c),
 b AS (SELECT *, CASE WHEN pooled > 0 AND pooled < 1 THEN (ra - rb) / 100.0e0
@@ -355,7 +356,8 @@ SQL = {
     "outcome_sample": f"""WITH {SQL_CUSTOMER_FACTS} SELECT o_custkey, c_mktsegment, count(*) FILTER ({WON}) AS wins,
   count(*) FILTER (NOT {WON}) AS losses,
   CASE WHEN least(count(*) FILTER ({WON}), count(*) FILTER (NOT {WON})) >= 5 THEN 'ok' ELSE 'insufficient_sample' END AS status
-  FROM facts WHERE {DECIDED} AND o_orderdate >= TIMESTAMP '{LATE_AS_OF}' - INTERVAL {SPLIT_DAYS} DAY GROUP BY 1, 2""",
+  FROM facts WHERE {DECIDED} AND o_orderdate >= TIMESTAMP '{LATE_AS_OF}' - INTERVAL {SPLIT_DAYS} DAY
+  AND o_orderdate < TIMESTAMP '{LATE_AS_OF}' GROUP BY 1, 2""",
     "guidance_labels": f"""{_SQL_SPLIT} SELECT {', '.join(_SPLIT_KEYS)}, metric, magnitude, direction, verdict,
   {sql_shown('delta_pct', 1)} AS delta_pct, {_OUTCOME_GUIDANCE} AS guidance, {_advice_sql()} AS advice FROM judged""",
     "effect_order": f"""{_SQL_SPLIT} SELECT c_nationkey,

@@ -200,7 +200,8 @@ SQL = {
   {sql_shown('avg(gold - gold_rival)', 2)} AS diff_gold, {sql_shown('stddev_samp(gold - gold_rival)', 2)} AS diff_gold_sd,
   {sql_shown('avg(xp - xp_rival)', 2)} AS diff_xp, {sql_shown('avg(level)', 2)} AS level,
   {sql_shown('100.0e0 * count(*) FILTER (gold > gold_rival) / count(*)', 2)} AS ahead_pct FROM f
-  WHERE queue_id = 420 AND l_shipdate >= TIMESTAMP '{LATE_AS_OF}' - INTERVAL 1500 DAY GROUP BY 1, 2, 3""",
+  WHERE queue_id = 420 AND l_shipdate >= TIMESTAMP '{LATE_AS_OF}' - INTERVAL 1500 DAY
+  AND l_shipdate < TIMESTAMP '{LATE_AS_OF}' GROUP BY 1, 2, 3""",
     "rival_pairs": """WITH l AS (SELECT DISTINCT l_orderkey, l_returnflag, l_linenumber FROM lineitem)
   SELECT a.l_orderkey, a.l_linenumber, min(b.l_linenumber) AS rival FROM l a JOIN l b ON b.l_orderkey = a.l_orderkey
   AND b.l_returnflag = a.l_returnflag AND b.l_linenumber <> a.l_linenumber GROUP BY a.l_orderkey, a.l_returnflag, a.l_linenumber""",

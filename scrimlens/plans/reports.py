@@ -137,8 +137,8 @@ def recent_matches(matches: DataFrame, as_of: When, days: int = 7, limit: int =
 def rating_progress(points: DataFrame, as_of: When, days: int = 30, player: str | None = None,
                     division_matters: bool = True) -> DataFrame:
     """Points gained per win and lost per defeat, from steps with exactly one game."""
-    first = F.unix_timestamp(moment(as_of, days).cast("timestamp"))
-    recent = scoped(points, player).where(F.col("moment") >= first)
+    first, end = (F.unix_timestamp(moment(as_of, back).cast("timestamp")) for back in (days, 0))
+    recent = scoped(points, player).where((F.col("moment") >= first) & (F.col("moment") < end))
     deltas = series.rating_deltas(
         recent, slices=[series.by_epoch_day("moment")], division_matters=division_matters)
     return series.rating_progress(recent, deltas)

@@ -80,7 +80,8 @@ def _two_window_sql() -> str:
     return f"""WITH {SQL_FACTS} SELECT o_orderpriority,
   CASE WHEN o_orderdate >= TIMESTAMP '{AS_OF}' - INTERVAL {DAYS} DAY THEN 'recent' ELSE 'previous' END AS "window",
   count(*) AS n, {sql_shown(f'100.0e0 * count(*) FILTER ({WON}) / count(*)', 1)} AS win_pct, {values}
-  FROM facts WHERE {DECIDED} AND o_orderdate >= TIMESTAMP '{AS_OF}' - INTERVAL {2 * DAYS} DAY GROUP BY 1, 2"""
+  FROM facts WHERE {DECIDED} AND o_orderdate >= TIMESTAMP '{AS_OF}' - INTERVAL {2 * DAYS} DAY
+  AND o_orderdate < TIMESTAMP '{AS_OF}' GROUP BY 1, 2"""
 
 
 def version_order(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -165,7 +166,7 @@ SQL = {
     "segment_stats": f"""SELECT user_id, event_type, count(*) AS n,
   {sql_shown('100.0e0 * count(*) FILTER (value > 50) / count(*)', 1)} AS win_pct, {sql_shown('avg(value)', 2)} AS value,
   {sql_shown("avg(CAST(json_extract_string(props, '$.k') AS DOUBLE))", 2)} AS k FROM events
-  WHERE ts >= TIMESTAMP '{EVENTS_AS_OF}' - INTERVAL 20 DAY GROUP BY 1, 2 HAVING count(*) >= 3""",
+  WHERE ts >= TIMESTAMP '{EVENTS_AS_OF}' - INTERVAL 20 DAY AND ts < TIMESTAMP '{EVENTS_AS_OF}' GROUP BY 1, 2 HAVING count(*) >= 3""",
     "ratio_of_means": f"""SELECT l_suppkey, count(*) AS n,
   {sql_shown("100.0e0 * count(*) FILTER (l_returnflag = 'R') / count(*)", 1)} AS win_pct,
   {sql_shown('avg(l_quantity)')} AS kills, {sql_shown('avg(l_linenumber)')} AS deaths, {sql_shown('avg(l_tax)')} AS assists,

@@ -102,7 +102,7 @@ t AS (SELECT *, CASE WHEN c_acctbal >= 4000 THEN coalesce(league, 'master') ELSE
 SELECT t.c_custkey, t.c_mktsegment, t.tier, c.league, {sql_shown('c.cutoff', 2)} AS cutoff, c.seats,
   {sql_shown('c.median', 2)} AS median,
   {sql_shown("CASE WHEN t.tier <> 'diamond' THEN greatest(c.cutoff - t.c_acctbal, 0) END", 2)} AS missing
-FROM t JOIN c USING (c_mktsegment)"""
+FROM t LEFT JOIN c USING (c_mktsegment)"""
 
 
 def stale_cutoffs(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -127,20 +127,22 @@ v AS (SELECT *, pow(coalesce(sd_a, 0), 2) / nullif(n_a, 0) AS va, pow(coalesce(s
 w AS (SELECT *, sqrt(va + vb) AS se, sqrt(pooled * (1 - pooled) * (1.0e0 / nullif(n_a, 0) + 1.0e0 / nullif(n_b, 0))) AS zse,
         CASE WHEN ready THEN sqrt(((n_a - 1) * pow(coalesce(sd_a, 0), 2) + (n_b - 1) * pow(coalesce(sd_b, 0), 2))
              / nullif(n_a + n_b - 2, 0)) END AS sdp FROM v),
-x AS (SELECT *, CASE WHEN ready AND se > 0 THEN (mean_a - mean_b) / se END AS t,
-        CASE WHEN ready AND se > 0 THEN pow(va + vb, 2) / (va * va / (n_a - 1) + vb * vb / (n_b - 1)) END AS dof,
+x0 AS (SELECT *, 1e-12 * greatest(abs(mean_a), abs(mean_b)) AS eps,
+        CASE WHEN abs(mean_a - mean_b) <= 1e-12 * greatest(abs(mean_a), abs(mean_b)) THEN 0.0e0 ELSE mean_a - mean_b END AS delta FROM w),
+x AS (SELECT *, CASE WHEN ready AND se > eps THEN delta / se END AS t,
+        CASE WHEN ready AND se > eps THEN pow(va + vb, 2) / (va * va / (n_a - 1) + vb * vb / (n_b - 1)) END AS dof,
         CASE WHEN pooled > 0 AND pooled < 1 THEN (hits_a * 1.0e0 / n_a - hits_b * 1.0e0 / n_b) / zse END AS z,
-        CASE WHEN sdp > 0 THEN (mean_a - mean_b) / sdp END AS d FROM w),
-y AS (SELECT *, mean_a - mean_b AS delta, 100.0e0 * (mean_a - mean_b) / nullif(mean_b, 0) AS delta_pct,
+        CASE WHEN sdp > eps THEN delta / sdp END AS d FROM x0),
+y AS (SELECT *, 100.0e0 * (mean_a - mean_b) / nullif(mean_b, 0) AS delta_pct,
         CASE WHEN kind = 'share' THEN CASE WHEN pooled IN (0, 1) THEN 1.0e0 ELSE {sql_normal_tail('z')} END
              WHEN t IS NOT NULL THEN {sql_student_tail('t', 'dof')}
-             WHEN ready AND se = 0 THEN CASE WHEN mean_a = mean_b THEN 1.0e0 ELSE 0.0e0 END END AS p FROM x),
+             WHEN ready AND se <= eps THEN CASE WHEN delta = 0 THEN 1.0e0 ELSE 0.0e0 END END AS p FROM x),
 r AS (SELECT *, row_number() OVER (PARTITION BY {keys} ORDER BY p NULLS LAST) * 1.0e0
         / nullif(count(p) OVER (PARTITION BY {keys}), 0) * 0.05e0 AS step FROM y),
 s AS (SELECT *, coalesce(p <= max(CASE WHEN p <= step THEN p END) OVER (PARTITION BY {keys}), FALSE) AS significant FROM r),
 judged AS (SELECT *,
-        CASE WHEN d IS NULL THEN 'undetermined' WHEN abs(d) < 0.2 THEN 'insignificant' WHEN abs(d) < 0.5 THEN 'small'
-             WHEN abs(d) < 0.8 THEN 'medium' ELSE 'large' END AS magnitude,
+        CASE WHEN d IS NULL THEN 'undetermined' WHEN abs(d) < 0.2 - 1e-12 THEN 'insignificant' WHEN abs(d) < 0.5 - 1e-12 THEN 'small'
+             WHEN abs(d) < 0.8 - 1e-12 THEN 'medium' ELSE 'large' END AS magnitude,
         CASE WHEN delta = 0 THEN 'unchanged' WHEN sense = 'neutral' THEN 'neutral'
              WHEN (delta > 0) = (sense = 'higher') THEN 'better' ELSE 'worse' END AS direction,
         CASE WHEN significant THEN 'significant' WHEN p < 0.05 THEN 'hint' ELSE 'noise' END AS verdict FROM s)"""

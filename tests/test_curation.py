@@ -111,11 +111,11 @@ def test_curation_twice_adds_nothing(spark, raw, folder, layout):
         curation.curate_frames(_timelines(spark), lake, layout=layout, buckets=4)
         curation.curate_frames(_timelines(spark), lake, whole=True, layout=layout, buckets=4)
     assert readers.read_matches(spark, lake.matches).count() == 5
-    assert readers.read_matches(spark, lake.matches, A, 4).count() == 4
+    assert readers.read_matches(spark, lake.matches, A).count() == 4
     assert readers.read_peers(spark, lake.peers).count() == 7
     assert readers.read_frames(spark, lake.frames).count() == 9
-    assert readers.read_frames(spark, lake.frames, B, 4).count() == 3
-    plan = readers.read_matches(spark, lake.matches, A, 4)._jdf.queryExecution().executedPlan().toString()
+    assert readers.read_frames(spark, lake.frames, B).count() == 3
+    plan = readers.read_matches(spark, lake.matches, A)._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(" in plan
 
 
@@ -292,16 +292,18 @@ def test_all_reports_run(spark, lake_tables):
 
 def test_rating_reports(spark, lake_tables):
     matches, _, _ = lake_tables
-    ranks = spark.createDataFrame([(A, {"RANKED_SOLO_5x5": ("MASTER", "I", 311, 200, 169)}, 1)], schemas.RANK_STATE)
+    ranks = spark.createDataFrame([(A, {"RANKED_SOLO_5x5": ("GRANDMASTER", "I", 540, 88, 71)}, 1)], schemas.RANK_STATE)
     assert reports.ranks(ranks).first().queue_name == "ranked solo/duo"
-    cuts = spark.createDataFrame([("la2", "grandmaster", 726, 3, 900.0), ("kr", "grandmaster", 1, 1, 1.0), ("la2", "silver", 1, 1, 1.0)],
+    cuts = spark.createDataFrame([("la2", "challenger", 905, 6, 1010.5), ("kr", "challenger", 2, 1, 2.0), ("la2", "gold", 1, 1, 1.0)],
                                  "platform string, league string, cutoff int, seats int, median double")
     gap = reports.league_cutoff_gaps(ranks, matches, cuts).collect()
-    assert [(g.league, g.missing) for g in gap] == [("grandmaster", 726 - 311)]
-    now = 1_761_955_200  # 2025-11-01 UTC
-    rows = [(A, now - 86400 * d, lp, "MASTER", "I", w, l) for d, lp, w, l in ((40, 1, 190, 160), (3, 300, 200, 169), (2, 318, 201, 169), (1, 303, 201, 170))]
+    assert [(g.league, g.missing) for g in gap] == [("challenger", 905 - 540)]
+    end = 1_761_955_200  # 2025-11-01 UTC
+    steps = [(50, 610, 80, 66), (9, 520, 85, 70), (6, 533, 86, 70), (4, 523, 86, 71), (2, 540, 88, 71), (-3, 560, 89, 71)]
+    rows = [(A, end - 86400 * d, lp, "GRANDMASTER", "I", w, l) for d, lp, w, l in steps]
     progress = reports.rating_progress(spark.createDataFrame(rows, schemas.RATING_POINT), AS_OF).first()
-    assert (progress.points, progress.gain_median, progress.loss_median, progress.measurable) == (3, 18, 15, True)
+    # The first point is too old and the last lies after the end; two wins between two points tell nothing.
+    assert (progress.points, progress.gain_median, progress.loss_median, progress.measurable) == (4, 13, 10, True)
 
 
 def test_player_filter_reaches_the_scan(spark, lake_tables, folder):
@@ -311,3 +313,53 @@ def test_player_filter_reaches_the_scan(spark, lake_tables, folder):
     mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
     pushed = [line for line in report._jdf.queryExecution().explainString(mode).splitlines() if "PushedFilters" in line]
     assert "GreaterThanOrEqual(played_at" in pushed[0] and "EqualTo(puuid" in pushed[0]
+
+
+def test_tables_with_several_bucket_numbers_are_read_by_entity(spark, raw, folder):
+    lake = curation.Lake(folder)
+    first = raw.where("match_id IN ('LA2_1', 'LA2_2')")
+    curation.curate_raw(first, lake, buckets=3)
+    curation.curate_raw(raw, lake, buckets=64)
+    everyone = readers.read_matches(spark, lake.matches)
+    for who in (A, B):
+        got = readers.read_matches(spark, lake.matches, who)
+        assert got.count() == everyone.where(F.col("puuid") == who).count() > 0
+        assert "PartitionFilters: [isnotnull(" in got._jdf.queryExecution().executedPlan().toString()
+
+
+def test_late_rows_are_stored_once_despite_the_lookback(spark, raw, folder):
+    lake = curation.Lake(folder)
+    for _ in range(3):
+        curation.curate_raw(raw, lake, buckets=4, as_of="2025-12-24", lookback_days=1)
+    assert readers.read_matches(spark, lake.matches).count() == 5
+    assert readers.read_peers(spark, lake.peers).count() == 7
+
+
+def test_a_lost_state_version_is_an_error(spark, folder):
+    rows = spark.createDataFrame([(A, 1)], "puuid string, x int")
+    assert writers.read_state(spark, folder, -1) is None
+    writers.replace_state(rows, folder, 4)
+    assert writers.read_state(spark, folder, 4).count() == 1
+    with pytest.raises(FileNotFoundError):
+        writers.read_state(spark, folder, 3)
+
+
+def test_broken_documents_are_kept_beside_the_raw_rows(spark, documents, folder):
+    broken = spark.createDataFrame([(A, "{no json"), (B, None), (B, '{"metadata": {}}')], "puuid string, document string")
+    landed = spark.createDataFrame(documents, "puuid string, document string").unionByName(broken)
+    landed.write.parquet(f"{folder}/landing")
+    stream = landing.file_stream(spark, f"{folder}/landing", landing.LANDED, "parquet")
+    landing.land_documents(stream, f"{folder}/raw", f"{folder}/checkpoint").awaitTermination()
+    kept = spark.read.parquet(f"{folder}/raw_unreadable").select("puuid", "document")
+    good = readers.read_raw(spark, f"{folder}/raw")
+    assert {tuple(r) for r in broken.collect()} <= {tuple(r) for r in kept.collect()}
+    assert good.count() > 0 and kept.count() + good.count() <= landed.count()
+
+
+def test_rows_after_the_end_of_a_window_change_nothing(spark, lake_tables):
+    matches, _, _ = lake_tables
+    later = matches.withColumns({"played_at": F.to_timestamp_ntz(F.lit(AS_OF)), "kills": F.lit(99)})
+    both = matches.unionByName(later)
+    plain = lambda df: sorted(map(str, df.collect()))
+    assert plain(reports.window_trends(both, AS_OF, 30)) == plain(reports.window_trends(matches, AS_OF, 30))
+    assert plain(reports.champion_stats(both, AS_OF)) == plain(reports.champion_stats(matches, AS_OF))

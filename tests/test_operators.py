@@ -162,12 +162,6 @@ def test_group_vs_rest_equals_direct_counts(spark):
     assert len(within) == len({(q.role, q.entity) for q in rows})
 
 
-def test_main_role_ties_go_to_the_first_name(spark):
-    df = spark.createDataFrame([("a", "TOP"), ("a", "MID"), ("b", ""), ("b", None), ("c", "TOP"), ("c", "TOP"), ("c", "MID")],
-                               "e string, r string")
-    assert {r.e: r.r for r in compare.main_role(df, "e", "r").collect()} == {"a": "MID", "c": "TOP"}
-
-
 @pytest.mark.parametrize("accuracy", [20_000, 100])
 def test_exact_quantiles(spark, accuracy):
     """The low accuracy forces the bracket path: groups are larger than the sketch."""
@@ -207,19 +201,44 @@ def _progress(spark, rows, **kw):
     return series.rating_progress(points, deltas).first(), deltas
 
 
-def test_rating_progress_cases(spark):
-    m = ("MASTER", "I")
-    short, _ = _progress(spark, [(1, 311, 200, 169, *m)])
-    assert not short.measurable and short.points == 1
-    clean, _ = _progress(spark, [(1, 300, 200, 169, *m), (2, 318, 201, 169, *m), (3, 303, 201, 170, *m), (4, 321, 202, 170, *m)])
-    assert clean.measurable and (clean.gain_median, clean.loss_median, clean.gains) == (18, 15, 2)
-    mixed, _ = _progress(spark, [(1, 300, 200, 169, *m), (2, 305, 201, 170, *m)])
-    assert (mixed.ambiguous, mixed.gains, mixed.measurable) == (1, 0, False)
-    tier, _ = _progress(spark, [(1, 95, 200, 169, "DIAMOND", "I"), (2, 12, 201, 169, *m)])
-    assert tier.gains == 0
-    bonus, deltas = _progress(spark, [(1, 300, 200, 169, *m), (2, 318, 201, 169, *m), (3, 336, 202, 169, *m), (4, 372, 203, 169, *m)])
-    assert (bonus.gain_median, bonus.bonus_gains) == (18, 1)
-    assert [(r.amount, r.times) for r in series.bonus_gains(deltas).collect()] == [(36, 1)]
+def _simulated(seed, n=60):
+    """A rating series with runs of games between the points, and what can be told from it."""
+    rng = random.Random(seed)
+    lp, won, lost, tier, at = 400, 40, 35, "GRANDMASTER", 10
+    rows, gains, losses, ambiguous = [(at, lp, won, lost, tier, "I")], [], [], 0
+    for _ in range(n):
+        at += rng.randint(1, 9)
+        kind = rng.choice(["win", "win", "loss", "both", "rank"])
+        step = rng.choice([14, 14, 15, 41]) if kind == "win" else -rng.choice([11, 12])
+        if kind == "win":
+            won, lp = won + 1, lp + step
+            gains.append(step)
+        elif kind == "loss":
+            lost, lp = lost + 1, lp + step
+            losses.append(-step)
+        elif kind == "both":
+            won, lost, lp = won + 1, lost + 1, lp + 3
+            ambiguous += 1
+        else:
+            won, lp, tier = won + 1, lp + 200, "MASTER" if tier == "GRANDMASTER" else "GRANDMASTER"
+        rows.append((at, lp, won, lost, tier, "I"))
+    return rows, gains, losses, ambiguous
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_rating_progress_of_simulated_series(spark, seed):
+    rows, gains, losses, ambiguous = _simulated(seed)
+    got, deltas = _progress(spark, rows)
+    assert (got.points, got.gains, got.losses, got.ambiguous, got.measurable) == (len(rows), len(gains), len(losses), ambiguous, True)
+    assert (got.gain_median, got.loss_median) == (float(np.median(gains)), float(np.median(losses)))
+    bonus = [g for g in gains if g >= 1.7 * np.median(gains)]
+    assert got.bonus_gains == len(bonus)
+    assert {(r.amount, r.times) for r in series.bonus_gains(deltas).collect()} == {(g, bonus.count(g)) for g in bonus}
+
+
+def test_a_single_point_measures_nothing(spark):
+    got, _ = _progress(spark, _simulated(4)[0][:1])
+    assert (got.points, got.gains, got.losses, got.measurable) == (1, 0, 0, False)
 
 
 def test_division_promotion_is_a_reset_unless_asked_otherwise(spark):
@@ -236,14 +255,21 @@ def test_change_points_keep_the_first_and_compare_null_safe(spark):
 
 
 def test_league_cutoffs_and_gaps(spark):
-    entries = spark.createDataFrame([("la2", "grandmaster", x) for x in (900, 726, 1300)] + [("la2", "challenger", 1500)],
-                                    "platform string, league string, lp int")
-    cut = state.league_cutoffs(entries, "platform", "league", "lp")
-    got = {r.league: (r.cutoff, r.seats, r.median) for r in cut.collect()}
-    assert got == {"grandmaster": (726, 3, 900.0), "challenger": (1500, 1, 1500.0)}
-    players = spark.createDataFrame([("m", "la2", "MASTER", 700), ("d", "la2", "DIAMOND", 90)], "p string, platform string, tier string, lp int")
-    gaps = {(r.p, r.league): r.missing for r in state.cutoff_gaps(players, cut, "platform", "tier", "lp").collect()}
-    assert gaps == {("m", "grandmaster"): 26, ("m", "challenger"): 800, ("d", "grandmaster"): None, ("d", "challenger"): None}
+    rng = random.Random(15)
+    seats = [(p, league, rng.randint(200, 1900)) for p in ("north", "south") for league in ("grandmaster", "challenger") for _ in range(rng.randint(2, 9))]
+    cut = state.league_cutoffs(spark.createDataFrame(seats, "platform string, league string, lp int"), "platform", "league", "lp")
+    want = {}
+    for p, league, _ in seats:
+        points = sorted(x for q, other, x in seats if (q, other) == (p, league))
+        want[p, league] = points[0], len(points), float(points[len(points) // 2])
+    assert {(r.platform, r.league): (r.cutoff, r.seats, r.median) for r in cut.collect()} == want
+    players = [(f"m{i}", rng.choice(["north", "south"]), "MASTER", rng.randint(0, 2000)) for i in range(12)]
+    players += [("low", "north", "EMERALD", 55), ("far", "island", "CHALLENGER", 990)]
+    gaps = {(r.p, r.league): r.missing for r in state.cutoff_gaps(
+        spark.createDataFrame(players, "p string, platform string, tier string, lp int"), cut, "platform", "tier", "lp").collect()}
+    expected = {(who, league): max(want[where, league][0] - lp, 0) if tier == "MASTER" else None
+                for who, where, tier, lp in players if where != "island" for league in ("grandmaster", "challenger")}
+    assert gaps == {**expected, ("far", None): None}  # a platform without cutoffs keeps its player
 
 
 def test_stale_keys(spark):
@@ -253,13 +279,22 @@ def test_stale_keys(spark):
 
 
 def test_rank_map_keeps_both_queues_and_prefers_solo(spark):
-    entries = spark.createDataFrame([
-        ("p", "RANKED_SOLO_5x5", "MASTER", "I", 311, 200, 169, 2), ("p", "RANKED_SOLO_5x5", "DIAMOND", "I", 99, 199, 169, 1),
-        ("p", "RANKED_FLEX_SR", "PLATINUM", "III", 83, 31, 28, 1), ("p", "NEW_QUEUE", "IRON", "IV", 0, 0, 0, 1)],
-        "puuid string, queue string, tier string, division string, lp int, wins int, losses int, updated_at long")
-    rows = state.rank_rows(state.rank_map(entries)).orderBy("place", "queue").collect()
-    assert [(r.queue_name, r.tier) for r in rows] == [("ranked solo/duo", "MASTER"), ("NEW_QUEUE", "IRON"), ("ranked flex", "PLATINUM")]
-    assert rows[1].win_pct is None and round(rows[0].win_pct, 1) == 54.2
+    rng = random.Random(16)
+    entries, newest = [], {}
+    for version in range(1, 6):
+        for queue in ("RANKED_SOLO_5x5", "RANKED_FLEX_SR"):
+            rank = (rng.choice(["SILVER", "GOLD", "EMERALD"]), rng.choice(["I", "II"]), rng.randint(0, 99), rng.randint(1, 80), rng.randint(1, 80))
+            entries.append(("p", queue, *rank, version))
+            newest[queue] = rank
+    entries.append(("p", "ARENA", "WOOD", "IV", 7, 0, 0, 1))
+    rng.shuffle(entries)
+    df = spark.createDataFrame(entries, "puuid string, queue string, tier string, division string, lp int, wins int, losses int, updated_at long")
+    rows = state.rank_rows(state.rank_map(df)).orderBy("place", "queue").collect()
+    assert [r.queue for r in rows] == ["RANKED_SOLO_5x5", "ARENA", "RANKED_FLEX_SR"]
+    for r in (rows[0], rows[2]):
+        assert (r.tier, r.division, r.lp, r.wins, r.losses) == newest[r.queue]
+        assert r.win_pct == pytest.approx(100 * r.wins / (r.wins + r.losses))
+    assert rows[1].win_pct is None
 
 
 def test_patch_touches_only_its_fields(spark):
