@@ -27,7 +27,7 @@ from scrimlens.llm.common import Words, block_count, gram_hashes, id_in, id_out,
 _U = np.uint64
 WINDOW = 20  # words; an anchor is a hash of half as many
 #: Bytes of text for each block of documents, and for each range of anchors and of windows.
-BLOCK_BYTES, ANCHOR_BYTES, WINDOW_BYTES = 8 << 20, 16 << 20, 8 << 20
+BLOCK_BYTES, ANCHOR_BYTES, WINDOW_BYTES = 4 << 20, 16 << 20, 8 << 20
 _HASHES = pa.schema([("part", pa.int64()), ("block", pa.int64()), ("size", pa.int64()), ("first", pa.binary()), ("steps", pa.binary()), ("more", pa.binary()), ("docs", pa.binary())])
 _HASHES_SQL = "part long, block long, size long, first binary, steps binary, more binary, docs binary"
 _BITS = pa.schema([("round", pa.int32()), ("block", pa.int64()), ("part", pa.int64()), ("bits", pa.binary())])
@@ -57,7 +57,7 @@ class Block:
         anchors, spots, rows, starts, wide = [], [], [], [], ([], [])
         done = spot = 0
         self.counts = np.zeros(len(self.ids), np.int64)
-        for batch in slices(iter(self.table.select(["text"]).to_batches()), "text"):
+        for batch in slices(iter(self.table.select(["text"]).to_batches()), "text", 1 << 20):
             words = Words(batch.column("text"))
             self.counts[done : done + batch.num_rows] = words.counts
             n = len(words.starts) - window + 1
