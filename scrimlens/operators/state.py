@@ -45,6 +45,11 @@ def newest_per_entity(df: DataFrame, entity: Sequence[str], order: Sequence[Colu
     return df.withColumn("place", rank).where(F.col("place") <= k)
 
 
+def placed(df: DataFrame, entity: Sequence[str], order: Sequence[Column]) -> DataFrame:
+    """Add ``place``, from 1 on within each entity. For summaries: an entity's rows come to one task."""
+    return df.withColumn("place", F.row_number().over(Window.partitionBy(*entity).orderBy(*order)))
+
+
 def processed_ids(known: DataFrame, new: DataFrame, key: str, item: str, keep: int = KEPT_IDS) -> DataFrame:
     """Union of known and new ids per key, cut to the last ``keep`` in text order."""
     union = known.select(key, item).union(new.select(key, item)).distinct()
@@ -89,6 +94,15 @@ def stale_keys(current: DataFrame, wanted: DataFrame, key: str, now: Column, upd
     return wanted.select(key).distinct().join(fresh, key, "left_anti")
 
 
+def refresh_cutoffs(current: DataFrame, entries: DataFrame, now: Column, platform: str, league: str, points: str,
+                    max_age: int = CUTOFF_MAX_AGE_SECONDS) -> DataFrame:
+    """One run of the cutoff job: platforms whose stored cutoffs are stale or missing are computed anew from the entries, and only
+    their rows are replaced. ``current`` has platform, league, cutoff, seats, median, updated_at."""
+    stale = small_side(stale_keys(current.select(platform, "updated_at").distinct(), entries, platform, now, max_age=max_age))
+    fresh = league_cutoffs(entries.join(stale, platform, "left_semi"), platform, league, points).withColumn("updated_at", now)
+    return current.join(stale, platform, "left_anti").unionByName(fresh.select(*current.columns))
+
+
 def cutoff_gaps(players: DataFrame, cutoffs: DataFrame, platform: str, tier: str, points: str) -> DataFrame:
     """Every player against every league of its platform; the gap exists only from the apex tiers on. A platform without cutoffs
     yet gives one row with neither league nor gap."""

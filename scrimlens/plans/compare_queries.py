@@ -243,14 +243,11 @@ def union_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two aggregates under each other: the first segment and all others."""
     facts = order_facts(spark, sf_dir, customers=True)
 
-    def part(rows: DataFrame, name: str) -> DataFrame:
-        both = rows.withColumn("grp", F.lit(name))
-        people = both.groupBy("grp").agg(F.count_distinct("o_custkey").alias("customers"))
-        return summarize(both, ["grp"], ORDER_METRICS).join(people, "grp")
-
-    first = F.col("c_mktsegment") == "HOUSEHOLD"
-    union = part(facts.where(first), "household").unionByName(part(facts.where(~first), "others"))
-    return union.select("grp", "metric", "group_n", "customers", "n", shown("mean").alias("mean"), shown("sd").alias("sd"))
+    both = facts.where(F.col("c_mktsegment").isNotNull()).withColumn(
+        "grp", F.when(F.col("c_mktsegment") == "HOUSEHOLD", "household").otherwise("others"))
+    people = both.groupBy("grp").agg(F.count_distinct("o_custkey").alias("customers"))
+    rows = summarize(both, ["grp"], ORDER_METRICS).join(people, "grp")
+    return rows.select("grp", "metric", "group_n", "customers", "n", shown("mean").alias("mean"), shown("sd").alias("sd"))
 
 
 def _union_sql() -> str:

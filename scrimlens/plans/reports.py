@@ -28,6 +28,16 @@ def _facts(matches: DataFrame, as_of: When, days: float, solo_only: bool, player
     return solo(scoped(matches, player), solo_only).where(since("played_at", as_of, days))
 
 
+def _by_effect(report: DataFrame) -> DataFrame:
+    """``place`` of a metric within its player and role: largest absolute effect first, without an effect last."""
+    return state.placed(report, ["puuid", "team_position"], [F.abs("d").desc_nulls_last(), F.asc("metric")])
+
+
+def _by_games(table: DataFrame, segment: str, games: str = "n") -> DataFrame:
+    """``place`` of a segment within its player: most games first."""
+    return state.placed(table, ["puuid"], [F.desc(games), F.asc(segment)])
+
+
 def window_trends(matches: DataFrame, as_of: When, days: int = 30, solo_only: bool = True, player: str | None = None,
                   by_role: bool = False, **judging) -> DataFrame:
     """Recent window against the one before: win rate and 22 metrics per player."""
@@ -47,7 +57,8 @@ def trend_overview(matches: DataFrame, report: DataFrame, as_of: When, days: int
 def champion_pool_trends(matches: DataFrame, as_of: When, days: int = 30, solo_only: bool = True, min_games: int = 3,
                          player: str | None = None) -> DataFrame:
     facts = solo(scoped(matches, player), solo_only)
-    return compare.pool_changes(facts, ["puuid"], "champion_name", "played_at", as_of, days, "win", min_games)
+    changes = compare.pool_changes(facts, ["puuid"], "champion_name", "played_at", as_of, days, "win", min_games)
+    return state.placed(changes, ["puuid"], [(F.col("recent_n") + F.col("previous_n")).desc(), F.asc("champion_name")])
 
 
 def coaching_priorities(matches: DataFrame, peers: DataFrame, as_of: When, days: int = 90, role: str | None = None,
@@ -61,19 +72,21 @@ def coaching_priorities(matches: DataFrame, peers: DataFrame, as_of: When, days:
     judging["main_role"] = role is None
     pool = with_role(_facts(peers, as_of, days, solo_only, None), "team_position", role)
     if scope == "own_matches":
-        return peer_reports.compare_to_match_peers(
+        report = peer_reports.compare_to_match_peers(
             own, pool, "puuid", "team_position", "match_id", PEER_METRICS, on_peers(PEER_METRICS), **judging)
-    if scope != "lake":
+    elif scope == "lake":
+        report = peer_reports.compare_to_peers(
+            own, pool, "puuid", "team_position", PEER_METRICS, on_peers(PEER_METRICS), **judging)
+    else:
         raise ValueError("scope must be lake or own_matches")
-    return peer_reports.compare_to_peers(
-        own, pool, "puuid", "team_position", PEER_METRICS, on_peers(PEER_METRICS), **judging)
+    return _by_effect(report)
 
 
 def win_loss_split(matches: DataFrame, as_of: When, days: int = 90, role: str | None = None, solo_only: bool = True,
                    player: str | None = None, **judging) -> DataFrame:
     own = with_role(_facts(matches, as_of, days, solo_only, player), "team_position", role)
     main = None if role else ("puuid", "team_position")
-    return compare.compare_outcomes(own, ["puuid", "team_position"], OUTCOME_METRICS, "win", main=main, **judging)
+    return _by_effect(compare.compare_outcomes(own, ["puuid", "team_position"], OUTCOME_METRICS, "win", main=main, **judging))
 
 
 def win_loss_sample(matches: DataFrame, as_of: When, days: int = 90, role: str | None = None, solo_only: bool = True,
@@ -102,6 +115,7 @@ def lead_to_win(frames: DataFrame, matches: DataFrame, minute: int = 14, solo_on
     return segments.state_vs_outcome(at.join(ids, ["match_id", "puuid"]), "diff_gold", "win", band, ["puuid"])
 
 
+# The averages of the champion report.
 CHAMPION_METRICS = [
     Metric("kills"), DEATHS, Metric("assists"), Metric("kda"), Metric("kill_participation"), Metric("team_damage_percentage"),
     CS_PER_MIN, Metric("lane_minions_first10_minutes"), Metric("damage_per_minute"), Metric("gold_per_minute"),
@@ -112,7 +126,7 @@ CHAMPION_METRICS = [
 def champion_stats(matches: DataFrame, as_of: When, days: int = 90, solo_only: bool = True, min_games: int = 1,
                    player: str | None = None) -> DataFrame:
     facts = _facts(matches, as_of, days, solo_only, player)
-    return segments.segment_stats(facts, ["puuid", "champion_name"], CHAMPION_METRICS, "win", min_games)
+    return _by_games(segments.segment_stats(facts, ["puuid", "champion_name"], CHAMPION_METRICS, "win", min_games), "champion_name")
 
 
 # The columns of the recent-match report, with the decimals shown.
@@ -182,7 +196,7 @@ def matches_per_day(raw: DataFrame, player: str | None = None) -> DataFrame:
 
 def role_performance(matches: DataFrame, solo_only: bool = True, player: str | None = None) -> DataFrame:
     facts = with_role(solo(scoped(matches, player), solo_only), "team_position")
-    return segments.segment_stats(facts, ["puuid", "team_position"], [CS_PER_MIN, Metric("vision_score")], "win")
+    return _by_games(segments.segment_stats(facts, ["puuid", "team_position"], [CS_PER_MIN, Metric("vision_score")], "win"), "team_position")
 
 
 def early_phase(matches: DataFrame, solo_only: bool = True, player: str | None = None) -> DataFrame:
