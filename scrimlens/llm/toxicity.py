@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scrimlens.llm.common import id_in, id_out, slices
+from scrimlens.llm.common import id_in, id_out, slices, text_view
 
 #: Labelled rows that the lexicon is learned from at most; beyond, a sample by the hash of the id.
 TRAINING_ROWS = 20_000
@@ -59,9 +59,7 @@ def character_counts(docs: DataFrame, text: str) -> DataFrame:
             # Between words one boundary is enough.
             c = c[np.concatenate([[True], (c[1:] != 0) | (c[:-1] != 0)])]
             if len(c) > 2:
-                codes = (c[:-2] * SYMBOLS + c[1:-1]) * SYMBOLS + c[2:]
-                found, n = np.unique(codes, return_counts=True)
-                total[found] += n
+                total += np.bincount((c[:-2] * SYMBOLS + c[1:-1]) * SYMBOLS + c[2:], minlength=SYMBOLS**3)
         code = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(code, pa.int64()), pa.array(total[code], pa.int64())], names=["code", "n"])
 
@@ -119,16 +117,52 @@ class Characters:
         return max((score + float(log[a, b, 0]), text) for (a, b), (score, text) in paths.items())[1]
 
 
+_LOW = np.arange(256, dtype=np.uint8)
+_LOW[65:91] += 32
+_IS_LETTER = np.array([0x61 <= _LOW[b] <= 0x7A or b >= 0xC0 for b in range(256)])
+_IS_SIGN = np.array([chr(b) in _LEET for b in range(256)])
+_ENDS_WORD = np.array([chr(b) in "0123456789@$" for b in range(256)])
+_IS_SINGLE = _IS_LETTER | _IS_SIGN | np.array([0x30 <= b <= 0x39 for b in range(256)])
+_IS_SEPARATOR = np.array([chr(b) in _SEPARATORS for b in range(256)])
+
+
+def may_be_disguised(column: pa.Array) -> np.ndarray:
+    """Which texts can hold a disguised stretch at all: signs next to letters, a letter three times, or three single letters. Looks
+    at the first byte of each character, so it may say yes for nothing, never no for something."""
+    data, offsets = text_view(column)
+    first = (data & 0xC0) != 0x80
+    ends = np.concatenate([[0], np.cumsum(first)])[offsets]
+    c = _LOW[data[first]]
+    out = np.zeros(len(offsets) - 1, bool)
+    if len(c) < 2:
+        return out
+    letter = _IS_LETTER[c]
+    hit = np.zeros(len(c), bool)
+    hit[:-1] = (_IS_SIGN[c[:-1]] & letter[1:]) | (letter[:-1] & _ENDS_WORD[c[1:]])
+    hit[:-2] |= letter[:-2] & (c[:-2] == c[1:-1]) & (c[1:-1] == c[2:])
+    if len(c) >= 5:
+        single, apart = _IS_SINGLE[c], _IS_SEPARATOR[c]
+        three = single[:-4] & apart[1:-3] & single[2:-2] & apart[3:-1] & single[4:]
+        inside = single & (c < 0x80)  # surely part of a longer word
+        begins = np.zeros(len(c) + 1, bool)
+        begins[ends] = True
+        three[1:] &= ~inside[:-5] | begins[1:-5]
+        three[:-1] &= ~inside[5:] | begins[5:-1]
+        hit[:-4] |= three
+    out[np.searchsorted(ends, np.flatnonzero(hit), "right") - 1] = True
+    return out
+
+
 class Restorer:
     def __init__(self, characters: Characters, remembered: int = 100_000) -> None:
         self.characters, self.remembered = characters, remembered
         self.known: dict[str, str] = {}
 
-    def words(self, text: str) -> set[str]:
+    def words(self, text: str, disguised: bool = True) -> set[str]:
         """The distinct words of the restored text; what a sign may hide is also read as it stands."""
         low = text.lower()
         found = set(_WORD.findall(low))
-        for match in _DISGUISED.finditer(low):
+        for match in _DISGUISED.finditer(low) if disguised else ():
             stretch = match.group()
             if stretch not in self.known:
                 if len(self.known) > self.remembered:
@@ -168,8 +202,8 @@ def _feature_counts(rows: DataFrame, characters: Characters, known: frozenset[st
             return got
 
         for batch in slices(batches, "text"):
-            for text in batch.column("text").to_pylist():
-                found = {f for w in restorer.words(text or "") for f in features(w)}
+            for text, disguised in zip(batch.column("text").to_pylist(), may_be_disguised(batch.column("text")).tolist(), strict=True):
+                found = {f for w in restorer.words(text or "", disguised) for f in features(w)}
                 total.update(found if known is None else found & known)
             if len(total) > 300_000:
                 yield table()
@@ -228,9 +262,9 @@ def toxicity(
         chance: dict[str, float] = {}
         for batch in slices(batches, "text"):
             scores, hits = [], []
-            for text in batch.column("text").to_pylist():
+            for text, disguised in zip(batch.column("text").to_pylist(), may_be_disguised(batch.column("text")).tolist(), strict=True):
                 miss, found = 1.0, []
-                for word in restorer.words(text or ""):
+                for word in restorer.words(text or "", disguised):
                     p = chance.get(word)
                     if p is None:
                         if len(chance) > 300_000:
