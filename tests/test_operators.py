@@ -54,11 +54,12 @@ def test_peer_pool_without_the_entity_and_alone_in_its_role(spark):
     assert (got["me"].n_b, got["me"].mean_b, got["me"].peers) == (2, 5.0, 2)
 
 
-def test_match_peers_equal_the_explicit_join(spark):
+@pytest.mark.parametrize("far", [0.0, 1e9])
+def test_match_peers_equal_the_explicit_join(spark, far):
     rng = random.Random(5)
-    rows = [(m, f"p{rng.randrange(12)}", rng.choice("AB"), rng.gauss(5, 2)) for m in range(60) for _ in range(6)]
+    rows = [(m, f"p{rng.randrange(12)}", rng.choice("AB"), far + rng.gauss(5, 2)) for m in range(60) for _ in range(6)]
     df = spark.createDataFrame(rows, "m int, entity string, role string, x double")
-    got = {(r.role, r.entity): r for r in peers.match_peers(df, df, "entity", "role", "m", [Metric("x")], {"x": 5.0}).collect()}
+    got = {(r.role, r.entity): r for r in peers.match_peers(df, df, "entity", "role", "m", [Metric("x")]).collect()}
     for (role, entity), r in got.items():
         mine = {m for m, e, ro, _ in rows if e == entity and ro == role}
         rest = [x for m, e, ro, x in rows if m in mine and ro == role and e != entity]
