@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from scrimlens import schemas
 from scrimlens.functions.expressions import epoch_seconds
 from scrimlens.functions.filters import since
 from scrimlens.operators import curate, segments
@@ -32,20 +33,35 @@ def _match_id() -> Column:
     return F.concat(F.lit("LI"), F.concat_ws("_", "l_linenumber", "l_orderkey", "l_partkey", "l_suppkey", day))
 
 
+#: Leaves that the documents take from columns of their line item; all others follow a rule by their number.
+_NAMED = {
+    "puuid", "championName", "teamPosition", "win", "kills", "totalMinionsKilled", "neutralMinionsKilled", "goldEarned",
+    "challenges.kda", "challenges.damagePerMinute", "challenges.effectiveHealAndShielding"}
+_OTHERS = [(i, path, kind) for i, (path, kind) in enumerate(dict.fromkeys(schemas.MATCH_LEAVES + schemas.PEER_LEAVES)) if path not in _NAMED]
+
+
+def _rule(i: int, kind: str) -> str:
+    """Value of leaf i in SQL that both engines read alike; whole numbers and quarters, so that nothing depends on rounding."""
+    return {
+        schemas.INT: f"(((l_linenumber * {i + 2} + {i}) % 97) + {0.25 * (i % 2)}e0)", schemas.DOUBLE: f"(((l_linenumber * {i + 3}) % 53) / 4.0e0)",
+        schemas.BOOL: f"((l_linenumber + {i}) % 3 = 0)", schemas.STRING: f"concat('s{i}_', l_linenumber)"}[kind]
+
+
 def landed_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(puuid, document): every match twice, once for each of its two tracked participants."""
     c = F.col
     role = F.when(c("l_linestatus") == "O", F.when(c("l_linenumber") == 7, "").otherwise("JUNGLE")).otherwise("TOP")
     challenges = F.struct(
         (c("l_tax") * 10).alias("kda"), (c("l_extendedprice") / c("l_quantity")).alias("damagePerMinute"),
-        (c("l_extendedprice") / 7).alias("effectiveHealAndShielding"))
+        (c("l_extendedprice") / 7).alias("effectiveHealAndShielding"),
+        *[F.expr(_rule(i, kind)).alias(path.split(".")[1]) for i, path, kind in _OTHERS if "." in path])
 
     def participant(puuid: Column, won: Column, extra: Column) -> Column:
         return F.struct(
             puuid.alias("puuid"), c("l_returnflag").alias("championName"), role.alias("teamPosition"), won.alias("win"),
             c("l_linenumber").cast("double").alias("kills"), c("l_quantity").alias("totalMinionsKilled"),
             (c("l_discount") * 100).alias("neutralMinionsKilled"), c("l_extendedprice").alias("goldEarned"),
-            extra.alias("challenges"))
+            *[F.expr(_rule(i, kind)).alias(path) for i, path, kind in _OTHERS if "." not in path], extra.alias("challenges"))
 
     document = F.struct(
         F.struct(_match_id().alias("matchId")).alias("metadata"),
@@ -97,18 +113,15 @@ def raw_timelines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def flatten_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents to curated match rows, one per tracked player and match."""
-    return curate.flatten_matches(raw_matches(spark, sf_dir)).select(
-        "match_id", "puuid", "played_at", "queue_id", "duration_min", "champion_name", "team_position", "win", "kills", "cs",
-        "gold_earned", "kda", shown("damage_per_minute").alias("damage_per_minute"), "effective_heal_and_shielding",
-        "game_version")
+    """Documents to curated match rows with all 84 columns, one per tracked player and match."""
+    rows = curate.flatten_matches(raw_matches(spark, sf_dir))
+    return rows.select(*[shown(c).alias(c) if kind == "double" and c != "duration_min" else c for c, kind in rows.dtypes])
 
 
 def peer_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same documents to peer rows: everyone with a role, once, although each match is stored twice."""
-    return curate.flatten_peers(raw_matches(spark, sf_dir)).select(
-        "match_id", "puuid", "played_at", "queue_id", "duration_min", shown("cs_per_min").alias("cs_per_min"), "champion_name",
-        "win", "kills", "kda", "team_position")
+    """The same documents to peer rows with all columns: everyone with a role, once, although each match is stored twice."""
+    rows = curate.flatten_peers(raw_matches(spark, sf_dir))
+    return rows.select(*[shown(c).alias(c) if kind == "double" and c != "duration_min" else c for c, kind in rows.dtypes])
 
 
 def raw_kda_by_champion(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -176,17 +189,30 @@ _FRAMES = f"""{_DOCS}, f AS (SELECT m.*, k.minute,
     CAST(minute + who AS INTEGER) AS level, CAST(minute + 3 - who AS INTEGER) AS level_rival
   FROM m, (VALUES (5), (10), (14)) k(minute) WHERE team_position <> '' AND l_linenumber <> 6)"""
 
+def _sql_leaves(leaves: list[tuple[str, str]]) -> str:
+    wanted = {path for path, _ in leaves}
+    out = []
+    for i, path, kind in _OTHERS:
+        if path not in wanted:
+            continue
+        value = _rule(i, kind)
+        value = f"CAST(floor({value} + 0.5e0) AS INTEGER)" if kind == schemas.INT else sql_shown(value) if kind == schemas.DOUBLE else value
+        out.append(f"{f'CASE WHEN full_doc THEN {value} END' if '.' in path else value} AS {schemas.snake(path)}")
+    return ", ".join(out)
+
+
 SQL = {
-    "flatten_documents": f"""WITH {_DOCS} SELECT match_id, puuid, l_shipdate AS played_at, queue_id, duration_min,
+    "flatten_documents": f"""WITH {_DOCS} SELECT {_sql_leaves(schemas.MATCH_LEAVES)}, match_id, puuid, l_shipdate AS played_at, queue_id, duration_min,
   l_returnflag AS champion_name, team_position, win, l_linenumber AS kills,
   CAST(floor(l_quantity + 0.5) + floor(l_discount * 100 + 0.5) AS INTEGER) AS cs,
-  CAST(floor(l_extendedprice + 0.5) AS INTEGER) AS gold_earned, CASE WHEN full_doc THEN l_tax * 10 END AS kda,
+  CAST(floor(l_extendedprice + 0.5) AS INTEGER) AS gold_earned, {sql_shown('CASE WHEN full_doc THEN l_tax * 10 END')} AS kda,
   {sql_shown('CASE WHEN full_doc THEN l_extendedprice / l_quantity END')} AS damage_per_minute,
   CAST(CASE WHEN full_doc THEN floor(l_extendedprice / 7 + 0.5) END AS INTEGER) AS effective_heal_and_shielding,
   year(l_shipdate) || '.' || l_linenumber || '.1' AS game_version FROM m""",
-    "peer_flatten": f"""WITH {_DOCS} SELECT match_id, puuid, l_shipdate AS played_at, queue_id, duration_min,
+    "peer_flatten": f"""WITH {_DOCS} SELECT {_sql_leaves(schemas.PEER_LEAVES)}, match_id, puuid, l_shipdate AS played_at, queue_id, duration_min,
   {sql_shown('(l_quantity + l_discount * 100) / nullif(duration_min, 0)')} AS cs_per_min, l_returnflag AS champion_name, win,
-  l_linenumber AS kills, CASE WHEN full_doc THEN l_tax * 10 END AS kda, team_position FROM m WHERE team_position <> ''""",
+  l_linenumber AS kills, {sql_shown('CASE WHEN full_doc THEN l_tax * 10 END')} AS kda,
+  {sql_shown('CASE WHEN full_doc THEN l_extendedprice / l_quantity END')} AS damage_per_minute, team_position FROM m WHERE team_position <> ''""",
     "raw_kda_by_champion": f"""WITH {_DOCS} SELECT puuid, l_returnflag AS "championName", count(*) AS n,
   {sql_shown('100.0e0 * count(*) FILTER (win) / count(*)', 1)} AS win_pct, {sql_shown('avg(l_linenumber)', 1)} AS kills,
   {sql_shown('avg(l_discount * 100)', 1)} AS deaths, {sql_shown('avg(l_quantity)', 1)} AS assists,
