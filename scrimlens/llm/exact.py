@@ -92,6 +92,6 @@ def exact_dedup(
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "min") -> DataFrame:
     """The documents without exact copies, all columns; of rows repeated under one id and text one stays."""
-    kept = exact_dedup(docs, id_col, text_col, keep).where("kept").select(F.col(id_col).alias("kept_id")).distinct()
-    stay = docs.join(kept, docs[id_col].eqNullSafe(kept.kept_id), "left_semi")
-    return stay.dropDuplicates([id_col, text_col])
+    key = "_exact_dedup_key"  # one plain key for the join and for repeated rows, so the texts are moved once for both
+    kept = exact_dedup(docs, id_col, text_col, keep).where("kept").select(id_in(id_col).alias(key)).distinct()
+    return docs.withColumn(key, id_in(id_col)).join(kept, key, "left_semi").dropDuplicates([key, text_col]).drop(key)
