@@ -18,6 +18,7 @@ from scrimlens.operators.metrics import (
     CS_PER_MIN, DEATHS, OUTCOME_METRICS, PEER_METRICS, TIME_DEAD, TREND_METRICS, Metric, on_peers,
 )
 from scrimlens.operators.summarize import coverage, summarize
+from scrimlens.plans.tables import shown
 from scrimlens.sources.scope import scoped
 
 LANING_MINUTES = (5, 10, 14, 20)
@@ -140,10 +141,10 @@ def recent_matches(matches: DataFrame, as_of: When, days: int = 7, limit: int =
     """The newest ``limit`` matches of every player."""
     facts = _facts(matches, as_of, days, solo_only, player)
     newest = state.newest_per_entity(facts, ["puuid"], [F.desc("played_at"), F.desc("match_id")], limit)
-    shown = [F.round(c, places).alias(c) for c, places in _RECENT.items()]
+    rounded = [shown(c, places).alias(c) for c, places in _RECENT.items()]
     return newest.select(
         "puuid", "place", "match_id", "played_at", "queue_id", queue_label("queue_id").alias("queue_name"), "champion_name",
-        "team_position", "win", "kills", "deaths", "assists", *shown, "cs", "gold_earned", "total_damage_dealt_to_champions",
+        "team_position", "win", "kills", "deaths", "assists", *rounded, "cs", "gold_earned", "total_damage_dealt_to_champions",
         "vision_score", "lane_minions_first10_minutes", "turret_plates_taken", "solo_kills", "control_wards_placed",
         "wards_killed", "total_time_spent_dead", "duration_min", "game_version")
 
