@@ -164,6 +164,10 @@ def gram_hashes(words: np.ndarray, size: int) -> np.ndarray:
 # ----------------------------------------------------------------------------------------------- connected components
 
 
+#: Edges of a partition at least, so that a small graph is not written as many tiny files in each round.
+EDGES_A_FILE = 50_000
+
+
 def components(edges: DataFrame, a: str = "a", b: str = "b", most_rounds: int = 64) -> DataFrame:
     """(node, component) with the smallest node of each component, for every node that an edge names.
 
@@ -174,6 +178,7 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", most_rounds: int =
         edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u IS NOT NULL AND v IS NOT NULL").distinct())
     nodes = current.select(F.col("u").alias("node")).union(current.select(F.col("v").alias("node"))).distinct()
     current = current.where("u <> v")
+    files = max(1, -(-current.count() // EDGES_A_FILE))
     before = None
     for _ in range(most_rounds):
         both = current.union(current.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -183,7 +188,7 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", most_rounds: int =
         star = large.join(small, "u").select(
             F.explode(F.array(F.struct(F.col("u").alias("u"), F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e")
         ).select("e.u", "e.v").where("u <> v").distinct()
-        current = settle(star)
+        current = settle(star.coalesce(files))
         state = current.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if state == before:
             return nodes.join(current.groupBy("u").agg(F.min("v").alias("m")), F.col("node") == F.col("u"), "left").select(
