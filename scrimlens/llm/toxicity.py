@@ -213,8 +213,67 @@ def _feature_counts(rows: DataFrame, characters: Characters, known: frozenset[st
     return rows.select("text").mapInArrow(run, "feature string, n long").groupBy("feature").agg(F.sum("n").alias("n"))
 
 
-def learn(docs: DataFrame, labels: DataFrame, characters: Characters, id_col: str, text_col: str, label_col: str, most: int) -> tuple[dict[str, float], float]:
-    """Features of toxic documents with their share of toxic ones, and the share among documents without any."""
+class Scale:
+    """Chance of a document by its words of the lexicon: how many there are, their joint weight, and the document's length. A logistic
+    curve through the labelled documents that have such words; one that has none scores 0."""
+
+    def __init__(self, shares: dict[str, float], weights: np.ndarray | None = None, remembered: int = 300_000) -> None:
+        self.shares, self.weights, self.remembered = shares, weights, remembered
+        self.known: dict[str, float] = {}
+
+    def hits(self, words: set[str]) -> dict[str, float]:
+        """Words with a share of toxic documents."""
+        if len(self.known) > self.remembered:
+            self.known.clear()
+        out = {}
+        for word in words:
+            share = self.known.get(word)
+            if share is None:
+                share = self.known[word] = max(self.shares.get(f, 0.0) for f in features(word))
+            if share:
+                out[word] = share
+        return out
+
+    @staticmethod
+    def row(hits: dict[str, float], words: int) -> list[float]:
+        return [1.0, math.log(len(hits)), min(20.0, -sum(math.log(1 - p) for p in hits.values())), math.log(words)]
+
+    def score(self, words: set[str]) -> tuple[float, list[str]]:
+        hits = self.hits(words)
+        if not hits or self.weights is None:
+            return 0.0, []
+        return float(1 / (1 + np.exp(-np.clip(np.dot(self.weights, self.row(hits, len(words))), -30, 30)))), sorted(hits)
+
+    def fit(self, rows: np.ndarray, toxic: np.ndarray, rounds: int = 30) -> None:
+        """Newton's method with a small penalty, so that labels that one line separates give finite weights."""
+        weights, penalty = np.zeros(rows.shape[1]), np.diag([0.01, *[0.1] * (rows.shape[1] - 1)])
+        for _ in range(rounds):
+            p = 1 / (1 + np.exp(-np.clip(rows @ weights, -30, 30)))
+            slope = rows.T @ (p - toxic) + penalty @ weights
+            weights = weights - np.linalg.solve((rows * (p * (1 - p))[:, None]).T @ rows + penalty, slope)
+        self.weights = weights
+
+
+def _evidence(rows: DataFrame, characters: Characters, scale: Scale) -> DataFrame:
+    """The scale's rows of labelled documents with words of the lexicon."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        restorer = Restorer(characters)
+        for batch in slices(batches, "text"):
+            out = []
+            texts = zip(batch.column("toxic").to_pylist(), batch.column("text").to_pylist(), may_be_disguised(batch.column("text")).tolist(), strict=True)
+            for toxic, text, disguised in texts:
+                words = restorer.words(text or "", disguised)
+                if hits := scale.hits(words):
+                    out.append((toxic, scale.row(hits, len(words))))
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array([t for t, _ in out], pa.bool_()), pa.array([r for _, r in out], pa.list_(pa.float64()))], names=["toxic", "row"])
+
+    return rows.select("toxic", "text").mapInArrow(run, "toxic boolean, row array<double>")
+
+
+def learn(docs: DataFrame, labels: DataFrame, characters: Characters, id_col: str, text_col: str, label_col: str, most: int) -> Scale:
+    """Features of toxic documents with their share of toxic ones, and the scale of what documents have of them."""
     usable = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull() & ~_held_out(id_col)).select(F.col(id_col).cast("long").alias("label_id"), (F.col(label_col) == 1).alias("toxic"))
     rows = usable.count()
     share = min(1.0, most / max(rows, 1))
@@ -224,7 +283,7 @@ def learn(docs: DataFrame, labels: DataFrame, characters: Characters, id_col: st
     sizes = {r["toxic"]: r["count"] for r in sample.select("toxic").groupBy("toxic").count().collect()}
     bad, good = sizes.get(True, 0), sizes.get(False, 0)
     if not bad or not good:
-        return {}, bad / max(bad + good, 1)
+        return Scale({})
     base = bad / (bad + good)
     positive = _feature_counts(sample.where("toxic"), characters, None).where(F.col("n") >= 3).orderBy(F.desc("n"), "feature").limit(10 * LEXICON).collect()
     counts = {r["feature"]: r["n"] for r in positive}
@@ -238,7 +297,11 @@ def learn(docs: DataFrame, labels: DataFrame, characters: Characters, id_col: st
         if p >= 0.8 and ratio > math.log(max(len(counts), 2)) + 4:
             kept[feature] = (ratio, p)
     best = sorted(kept, key=lambda f: (-kept[f][0], f))[:LEXICON]
-    return {f: kept[f][1] for f in best}, base
+    scale = Scale({f: kept[f][1] for f in best})
+    rows = _evidence(sample, characters, scale).collect()  # a row a document of the bounded sample at most
+    if rows:
+        scale.fit(np.array([r["row"] for r in rows]), np.array([r["toxic"] for r in rows], float))
+    return scale
 
 
 def toxicity(
@@ -248,33 +311,20 @@ def toxicity(
     """One row per document: id, held_out, score (0 to 1), predicted (1 from a score of 0.5), hits (the words that count).
 
     Learns from labelled rows whose crc32 of the id in decimals is no multiple of five, at most about `training_rows` of them; ids
-    and labels are never inputs of a score. The score is the chance that at least one word is toxic by the lexicon. A null or
+    and labels are never inputs of a score. The score is a chance by how many words the lexicon holds and how toxic they are. A null or
     empty text scores 0.0, a table without labels scores everything 0.0. Each row is scored by itself, so repeated rows and ids
     change nothing but how often a label counts. A null id is not held out.
     """
     counted = character_counts(docs, text_col).toPandas()  # at most SYMBOLS ** 3 rows
     characters = Characters(counted["code"].to_numpy(np.int64), counted["n"].to_numpy(np.float64))
-    lexicon, _ = learn(docs, labels, characters, id_col, text_col, label_col, training_rows)
+    scale = learn(docs, labels, characters, id_col, text_col, label_col, training_rows)
     out = pa.schema([("id", pa.int64()), ("score", pa.float64()), ("hits", pa.list_(pa.string()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         restorer = Restorer(characters)
-        chance: dict[str, float] = {}
         for batch in slices(batches, "text"):
-            scores, hits = [], []
-            for text, disguised in zip(batch.column("text").to_pylist(), may_be_disguised(batch.column("text")).tolist(), strict=True):
-                miss, found = 1.0, []
-                for word in restorer.words(text or "", disguised):
-                    p = chance.get(word)
-                    if p is None:
-                        if len(chance) > 300_000:
-                            chance.clear()
-                        p = chance[word] = max(lexicon.get(f, 0.0) for f in features(word))
-                    if p:
-                        miss *= 1 - p
-                        found.append(word)
-                scores.append(1 - miss)
-                hits.append(sorted(found))
+            texts = zip(batch.column("text").to_pylist(), may_be_disguised(batch.column("text")).tolist(), strict=True)
+            scores, hits = zip(*(scale.score(restorer.words(text or "", disguised)) for text, disguised in texts), strict=True)
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(scores, pa.float64()), pa.array(hits, pa.list_(pa.string()))], schema=out)
 
     rows = docs.select(id_in(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
