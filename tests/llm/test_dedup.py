@@ -90,6 +90,29 @@ def test_near_classes_random(table, monkeypatch, chunk):
     assert got == brute.near_classes(rows)
 
 
+def test_wide_clusters_join_in_bounded_groups(table, monkeypatch):
+    """One family of near copies over several chunks: no task gets more than about two chunks of it."""
+    rng = random.Random(21)
+    base = [f"w{i}" for i in range(100)]
+    rows = [(i, " ".join([*base[: (k := rng.randrange(100))], f"v{i % 7}", *base[k + 1 :]])) for i in range(60)]
+    near = ngram_join._near
+
+    def bounded(share, of):
+        inner = near(share, of)
+
+        def run(got):
+            grams = sum(map(len, got.column("grams").to_pylist()))
+            assert grams <= 3000, f"{grams} n-grams in a group"
+            return inner(got)
+
+        return run
+
+    monkeypatch.setattr(ngram_join, "CHUNK_GRAMS", 1000)
+    monkeypatch.setattr(ngram_join, "_near", bounded)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in near_classes(table(rows)).collect()}
+    assert got == brute.near_classes(rows) and {c for _, c in got.values()} == {0}
+
+
 def test_prefix_tree_finds_what_pairs_find():
     rng = np.random.default_rng(3)
     sets = [np.array(sorted(rng.choice(40, size=rng.integers(5, 25), replace=False))) for _ in range(60)]
