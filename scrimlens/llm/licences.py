@@ -13,6 +13,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -36,7 +37,7 @@ TEMPLATES: dict[str, list[str]] = {
 }
 
 _TERM = re.compile(r"[^\W_]+")
-LONGEST_LINE, STRIDE = 60, 30  # words; longer lines are compared by windows
+LONGEST_LINE, STRIDE = 60, 30  # words; longer lines are also compared by windows of this size
 
 
 def terms(text: str) -> list[str]:
@@ -70,21 +71,30 @@ class Matcher:
         #: A term that no template has weighs as much as theirs do on average.
         self.other = sum(self.weight.values()) / len(self.weight)
         self.names: list[str] = []
-        self.vectors: list[dict[str, float]] = []
         self.postings: dict[str, list[tuple[int, float]]] = {}
         self.heavy: set[str] = set()
+        self.numbers = {t: i for i, t in enumerate(VOCABULARY)}
+        #: Squared weights by number of the term; the last is for all other terms.
+        self.squares = np.array([*(self.weight[t] for t in VOCABULARY), self.other]) ** 2
+        #: Of each template: its words, its heavy terms, and what each term adds to the product with it.
+        self.shapes: list[tuple[int, frozenset[str], np.ndarray]] = []
         for name, texts in TEMPLATES.items():
             for text in texts:
-                vector, norm = self.vector(terms(text))
+                words = terms(text)
+                vector, norm = self.vector(words)
                 unit = {t: w / norm for t, w in vector.items()}
+                own, gains = set(), np.zeros(len(VOCABULARY) + 1)
                 number = len(self.names)
                 self.names.append(name)
                 left = 1.0  # squared length of what has no heavy term yet
                 for t, w in sorted(unit.items(), key=lambda x: (-x[1], x[0])):
                     self.postings.setdefault(t, []).append((number, w))
+                    gains[self.numbers[t]] = w * self.weight[t]
                     if left >= threshold**2:
-                        self.heavy.add(t)
+                        own.add(t)
                         left -= w * w
+                self.heavy |= own
+                self.shapes.append((len(words), frozenset(own), gains))
 
     def vector(self, words: list[str]) -> tuple[dict[str, float], float]:
         counts = Counter(words)
@@ -107,16 +117,40 @@ class Matcher:
         name = min(best, key=lambda x: (-best[x], x))
         return (best[name], name) if best[name] >= self.threshold else None
 
+    def windows(self, words: list[str]) -> list[tuple[float, str, int, int]]:
+        """Stretches with as many words as a template has that reach the threshold: cosine, licence, first and last word. Of those
+        that overlap only the best. Every stretch with a heavy term of the template is compared, line breaks do not matter."""
+        codes = np.array([self.numbers.get(w, len(VOCABULARY)) for w in words])
+        # Repeated terms make a vector longer than this sum says, so the quotient is never below the cosine.
+        squares = np.concatenate([[0.0], np.cumsum(self.squares[codes])])
+        present, places = frozenset(words), set()
+        for size, own, gains in self.shapes:
+            if own.isdisjoint(present):
+                continue
+            size = min(size, len(words))
+            product = np.concatenate([[0.0], np.cumsum(gains[codes])])
+            product, square = product[size:] - product[:-size], squares[size:] - squares[:-size]
+            places.update((first, size) for first in np.flatnonzero(product >= (self.threshold - 1e-6) * np.sqrt(np.maximum(square, 0.0))).tolist())
+        hits = [(-now[0], now[1], first, first + size) for first, size in places if (now := self.line(words[first : first + size]))]
+        taken, out = np.zeros(len(words), bool), []
+        for score, name, first, last in sorted(hits):
+            if not taken[first:last].any():
+                taken[first:last] = True
+                out.append((-score, name, first, last))
+        return out
+
     def text(self, text: str) -> tuple[str | None, float, float]:
-        """Licence, cosine and share of the words in lines that state a licence."""
+        """Licence, cosine and share of the words in lines and windows that state a licence."""
         low = text.lower()
-        if self.heavy.isdisjoint(_TERM.findall(low)):
+        every = _TERM.findall(low)
+        if self.heavy.isdisjoint(every):
             return None, 0.0, 0.0
-        total = covered = 0
+        covered = np.zeros(len(every), bool)
         found: tuple[float, str] | None = None
+        last = 0
         for line in low.split("\n"):
             words = _TERM.findall(line)
-            total += len(words)
+            start, last = last, last + len(words)
             if self.heavy.isdisjoint(words):
                 continue
             hit = None
@@ -125,10 +159,14 @@ class Matcher:
                 if now and (hit is None or (-now[0], now[1]) < (-hit[0], hit[1])):
                     hit = now
             if hit:
-                covered += len(words)
+                covered[start:last] = True
                 if found is None or (-hit[0], hit[1]) < (-found[0], found[1]):
                     found = hit
-        return (found[1], found[0], covered / total) if found else (None, 0.0, 0.0)
+        for score, name, first, end in self.windows(every):
+            covered[first:end] = True
+            if found is None or (-score, name) < (-found[0], found[1]):
+                found = score, name
+        return (found[1], found[0], float(covered.mean())) if found else (None, 0.0, 0.0)
 
 
 def _parent(path: Column) -> Column:
@@ -140,8 +178,8 @@ def scan(
 ) -> DataFrame:
     """One row per document: id, path, own_licence, own_score, is_licence_file, licence, inherited_from.
 
-    A document's own licence is the best template of any of its lines from a cosine of `threshold`. One whose lines with a licence
-    hold at least `file_share` of its words is a licence file; of several in a directory the higher cosine wins, then the
+    A document's own licence is the best template of any of its lines, or of any stretch of a template's number of words, from a cosine
+    of `threshold`. One whose lines and stretches with a licence hold at least `file_share` of its words is a licence file; of several in a directory the higher cosine wins, then the
     smaller id, a null id being the smallest. Documents without an own licence take that of the nearest directory upwards, their
     own included, or null. A null path has no directory, a null text no licence. Rows repeated under one id are files of their
     own with equal results; an empty table gives an empty result.

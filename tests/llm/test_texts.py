@@ -16,7 +16,7 @@ from scrimlens.llm.bpe import Decoder, Encoder, Transducer, encode_documents, re
 from scrimlens.llm.fingerprint import edit_distances, edited, fingerprint, likeness, neighbour_fingerprints
 from scrimlens.llm.html_text import extract, main_text
 from scrimlens.llm.language import Model, Pieces, _chances, identify
-from scrimlens.llm.licences import Matcher, scan
+from scrimlens.llm.licences import TEMPLATES, Matcher, scan
 from scrimlens.llm.packing import Harmonic, pack
 from scrimlens.llm.toxicity import SYMBOLS, Characters, classes, drop_toxic, toxicity
 from tests.llm.brute import levenshtein
@@ -295,6 +295,21 @@ def test_light_lines_cannot_match():
         assert matcher.line(rng.choices(light, k=rng.randint(1, 12))) is None
 
 
+def test_licences_among_other_words():
+    """A statement inside a long line, at its end, or over a line break."""
+    matcher = Matcher({None: 1000, "the": 900, "this": 600, "work": 80, "free": 60, "software": 40, "by": 500, "under": 300, "version": 30}, 0.6)
+    rng = random.Random(14)
+    for name, texts in TEMPLATES.items():
+        for text in texts:
+            for before, after in [(5, 0), (0, 10), (53, 0), (70, 90)]:
+                line = " ".join([*rng.choices(["lorem", "ipsum", "dolor", "sit"], k=before), text, *rng.choices(["amet", "elit", "sed"], k=after)])
+                assert matcher.text(line)[0] == name
+            assert matcher.text("lorem ipsum " + text.replace(" ", "\n", 1) + " dolor sit amet")[0] == name
+    got = matcher.text("Copyright (c) 2020 by Jane Doe and others. Licensed under the Apache License, Version 2.0.")
+    assert got[:2] == ("Apache-2.0", 1.0)
+    assert matcher.text("lorem ipsum dolor sit amet " * 30 + "under the sit")[0] is None
+
+
 # -------------------------------------------------------------------------------------------------------------- pages
 
 PAGE = """<html><head><title>no</title><style>p{}</style></head><body class="has-sidebar"><header><h1>Site</h1></header><nav><ul><li><a href=/>Home</a>
