@@ -22,7 +22,7 @@ from scrimlens.llm.common import id_in, id_out, slices
 
 # Elements by their part in a page.
 _BLOCKS = frozenset("address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre search section summary table tbody td tfoot th thead tr ul".split())
-_HIDDEN = frozenset("audio button canvas datalist head iframe map math noscript object option script select style svg template textarea title video".split())
+_HIDDEN = frozenset("annotation annotation-xml audio button canvas datalist head iframe map noscript object option script select style svg template textarea title video".split())
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _APART = frozenset("aside dialog footer form menu nav search".split())
 _MARKS = frozenset("""ad ads adslot adsense advert adverts advertisement advertising banner breadcrumb breadcrumbs byline comment comments commentlist
@@ -32,6 +32,22 @@ replies reply respond responses search share sharing sidebar signup skip social
 taboola tags teaser toast toolbar topbar warning widget widgets""".split())
 _ROLES = frozenset("alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search".split())
 _NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
+#: Names that speak of the layout: what a page has or hasn't, wrappers of the content, and parts hidden on some screens only.
+_LAYOUT = re.compile(r"(?:has|with|no|without)[-_].*|hidden[-_](?:xs|sm|md|lg|xl|xxl|print|phone|tablet|desktop|mobile)|(?:content|main|page|site|primary)[-_].*wrap(?:per)?")
+
+
+class Element:
+    """An open element: its place, whether it is the article, whether it stands apart by itself or only by its name, whether its
+    text is hidden."""
+
+    def __init__(self, tag: str, above: Element | None, article: bool, apart: bool, named: bool, hidden: bool) -> None:
+        self.tag, self.above, self.article, self.apart, self.named, self.hidden = tag, above, article, apart, named, hidden
+
+    def path(self) -> Iterator[Element]:
+        place: Element | None = self
+        while place:
+            yield place
+            place = place.above
 
 
 class Block(NamedTuple):
@@ -40,6 +56,7 @@ class Block(NamedTuple):
     linked: int
     article: bool
     apart: bool
+    element: Element | None
 
 
 class _Reader(HTMLParser):
@@ -48,20 +65,16 @@ class _Reader(HTMLParser):
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.blocks: list[Block] = []
-        #: Open elements: tag, whether it is the article, whether it is apart from it, whether its text is hidden.
-        self.open: list[tuple[str, bool, bool, bool]] = []
+        self.open: list[Element] = []
         self.parts: list[str] = []
         self.link_parts: list[str] = []
         self.link = 0
 
-    def _state(self) -> tuple[bool, bool, bool]:
-        return self.open[-1][1:] if self.open else (False, False, False)
-
     def flush(self) -> None:
         words = "".join(self.parts).split()
         if words:
-            article, apart, _ = self._state()
-            self.blocks.append(Block(" ".join(words), len(words), min(len(words), len("".join(self.link_parts).split())), article, apart))
+            element = self.open[-1] if self.open else None
+            self.blocks.append(Block(" ".join(words), len(words), min(len(words), len("".join(self.link_parts).split())), bool(element and element.article), False, element))
         self.parts, self.link_parts = [], []
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
@@ -75,19 +88,22 @@ class _Reader(HTMLParser):
             self.link = 1
         if tag not in _BLOCKS and tag not in _HIDDEN:
             return
-        if tag == "p" and self.open and self.open[-1][0] == "p":
+        if tag == "p" and self.open and self.open[-1].tag == "p":
             self.open.pop()  # a paragraph ends where the next begins
-        article, apart, hidden = self._state()
+        above = self.open[-1] if self.open else None
+        article, apart, named, hidden = bool(above and above.article), False, False, bool(above and above.hidden)
         given = dict(attrs)
         if tag in ("article", "main"):
             # An article inside something apart, such as a comment or a teaser, stays apart.
             article = True
         elif tag not in ("html", "body"):
-            names = {n.lower() for key in ("class", "id") for n in _NAME.findall(given.get(key) or "")}
-            marked = bool(names & _MARKS) or (given.get("role") or "").lower() in _ROLES or "hidden" in given or given.get("aria-hidden") == "true"
-            marked |= "display:none" in (given.get("style") or "").replace(" ", "").lower()
-            apart |= tag in _APART or marked or (not article and (tag == "header" or "header" in names))
-        self.open.append((tag, article, apart, hidden or tag in _HIDDEN))
+            whole = [w for key in ("class", "id") for w in (given.get(key) or "").split() if not _LAYOUT.fullmatch(w.lower())]
+            names = {n.lower() for w in whole for n in _NAME.findall(w)}
+            named = bool(names & _MARKS) or (not article and "header" in names)
+            apart = (given.get("role") or "").lower() in _ROLES or "hidden" in given or given.get("aria-hidden") == "true"
+            apart |= "display:none" in (given.get("style") or "").replace(" ", "").lower()
+            apart |= tag in _APART or (not article and tag == "header")
+        self.open.append(Element(tag, above, article, apart, named, hidden or tag in _HIDDEN))
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.handle_starttag(tag, attrs)
@@ -101,25 +117,63 @@ class _Reader(HTMLParser):
             self.link = 0
         if tag in _BLOCKS or tag in _HIDDEN:
             for place in range(len(self.open) - 1, -1, -1):
-                if self.open[place][0] == tag:
+                if self.open[place].tag == tag:
                     del self.open[place:]
                     self.link = self.link if tag in ("p", "li", "span") else 0
                     break
 
     def handle_data(self, data: str) -> None:
-        if self.open and self.open[-1][3]:
+        if self.open and self.open[-1].hidden:
             return
         self.parts.append(data)
         if self.link:
             self.link_parts.append(data + " ")
 
 
+def _path(block: Block) -> list[Element]:
+    return list(block.element.path()) if block.element else []
+
+
+def _apart(block: Block) -> bool:
+    return any(e.apart or e.named for e in _path(block))
+
+
+def _clear_main(blocks: list[Block]) -> None:
+    """Names do not count on the elements around the page's main element: the first <main>, else an article that is alone in what
+    bears the name and has more words of its own than all that is not apart."""
+    articles: dict[int, list] = {}  # the outermost article of each: element, words that are no links
+    free = 0
+    for block in blocks:
+        path = _path(block)
+        plain = block.words - block.linked
+        free += 0 if any(e.apart or e.named for e in path) else plain
+        mains = [e for e in path if e.tag == "main"]
+        if mains and not any(e.apart for e in mains[-1].path()):
+            for e in mains[-1].path():
+                e.named = False
+            return
+        outer = [e for e in path if e.tag == "article"]
+        if outer and not any(e.apart for e in outer[-1].path()):
+            articles.setdefault(id(outer[-1]), [outer[-1], 0])[1] += plain
+    within: dict[int, int] = {}
+    for article, _ in articles.values():
+        for e in article.path():
+            within[id(e)] = within.get(id(e), 0) + 1
+    for article, plain in sorted(articles.values(), key=lambda x: -x[1])[:1]:
+        marked = [e for e in article.path() if e.named]
+        if marked and plain > free and all(within[id(e)] == 1 for e in marked):
+            for e in marked:
+                e.named = False
+
+
 def text_blocks(html: str) -> list[Block]:
     reader = _Reader()
     reader.feed(html)
     reader.close()
     reader.flush()
-    return reader.blocks
+    if any(e.named for b in reader.blocks for e in _path(b)):
+        _clear_main(reader.blocks)
+    return [b._replace(apart=_apart(b)) for b in reader.blocks]
 
 
 # ------------------------------------------------------------------------------------------------------ decision tree
@@ -186,11 +240,23 @@ def is_content(features: tuple[float, ...], tree: tuple | float) -> bool:
     return tree >= 0.5
 
 
-def main_text(html: str) -> str:
-    blocks, tree = text_blocks(html), trained()
+def _content(blocks: list[Block]) -> list[str]:
+    tree = trained()
     sizes = [(0, 0.0), *((b.words, b.linked / b.words) for b in blocks), (0, 0.0)]
-    return "\n".join(
-        b.text for i, b in enumerate(blocks) if is_content((*sizes[i + 1], *sizes[i], *sizes[i + 2], b.article, b.apart), tree))
+    return [b.text for i, b in enumerate(blocks) if is_content((*sizes[i + 1], *sizes[i], *sizes[i + 2], b.article, b.apart), tree)]
+
+
+def main_text(html: str) -> str:
+    blocks = text_blocks(html)
+    texts = _content(blocks)
+    if not texts:
+        # Nothing but what bears such a name: the other features decide about the element around the longest block.
+        longest = max((b for b in blocks if not any(e.apart for e in _path(b))), key=lambda b: b.words - b.linked, default=None)
+        if longest and longest.apart:
+            for e in _path(longest):
+                e.named = False
+            texts = _content([b._replace(apart=_apart(b)) for b in blocks])
+    return "\n".join(texts)
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:

@@ -327,6 +327,22 @@ def test_main_text():
     assert main_text("<article><p>cut &am").endswith("cut &am")
 
 
+def test_main_text_in_wrappers():
+    inner = "<h1>Title</h1><p>" + "word " * 50 + "</p><p>" + "more " * 40 + "</p>"
+    want = "Title\n" + ("word " * 50).strip() + "\n" + ("more " * 40).strip()
+    around = '<nav><a href=a>Home</a></nav>%s<div class="sidebar"><p>' + "aside " * 30 + "</p></div><footer>me</footer>"
+    for wrapper in ['div class="content-sidebar-wrap"', 'div class="has-sidebar"', 'div id="page" class="no-comments"', 'section class="search-results"', 'div class="post hidden-xs"', 'div class="comments-wrap"']:
+        close = "</" + wrapper.split()[0] + ">"
+        for tag in ("article", "main"):
+            assert main_text(around % f"<{wrapper}><{tag}>{inner}</{tag}>{close}") == want, (wrapper, tag)
+    for wrapper in ["content-sidebar-wrap", "has-sidebar", "post hidden-xs"]:
+        assert "word word" in main_text(around % f'<div class="{wrapper}">{inner}</div>') and "aside" not in main_text(around % f'<div class="{wrapper}">{inner}</div>')
+    assert "word word" in main_text(f'<div class="search-results">{inner}</div>')
+    comments = '<section id="comments">' + "<article><p>" + "reply " * 60 + "</p></article>" + "<article><p>so it is</p></article></section>"
+    assert main_text(f"<div>{inner}</div>{comments}").endswith("more") and main_text(f"<article>{inner}</article>{comments}") == want
+    assert main_text("<article><p>Let <math><mi>x</mi><mo>=</mo><mn>2</mn><annotation>x=2</annotation></math> be so.</p></article>") == "Let x=2 be so."
+
+
 def test_extract(spark):
     rows = [(1, "u", PAGE, "x"), (2, None, None, "x"), (2, "v", "", "x"), (None, "w", "<p>" + "long " * 200_000, "x")]
     got = extract(spark.createDataFrame(rows, "page_id long, url string, html string, id string")).collect()
