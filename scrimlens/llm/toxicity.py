@@ -2,7 +2,8 @@
 
 A disguised stretch becomes a lattice of characters: a sign may stand for a letter (leetspeak), a separator between single letters
 may be nothing (spacing), and a letter that repeats may be fewer (repetition). Viterbi finds the path that a character
-trigram model of the whole corpus likes best. Text without such signs has one path only, itself, and is not decoded.
+trigram model of the whole corpus likes best. Text without such signs has one path only, itself, and is not decoded. Parts of words
+with a gap of one to three separators are joined where the model likes them better than two words.
 """
 
 from __future__ import annotations
@@ -11,6 +12,7 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -27,10 +29,15 @@ _LEET = {"0": "o", "1": "il", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b",
 _SEPARATORS = " .-_*~"
 _SIGN = "".join(map(re.escape, _LEET))
 _LETTER = r"[^\W\d_]"
-#: Signs inside or before a word, letters three times in a row, three or more single letters with separators.
-_DISGUISED = re.compile(
-    rf"(?<![\w{_SIGN}])(?:[^\W_]|[{_SIGN}])(?:[{re.escape(_SEPARATORS)}](?:[^\W_]|[{_SIGN}])){{2,}}(?![\w{_SIGN}])"
-    rf"|(?<![\w{_SIGN}])[\w{_SIGN}]*(?:{_LETTER}[{_SIGN}]+(?={_LETTER})|[{_SIGN}]{_LETTER}|{_LETTER}[0-9@$](?![{_SIGN}])|({_LETTER})\1\1)[\w{_SIGN}]*")
+_SINGLE, _GAP = rf"(?:[^\W_]|[{_SIGN}])", rf"[{re.escape(_SEPARATORS)}]{{1,3}}"
+#: A sign beside a letter, or a letter twice in a row.
+_DISGUISED = re.compile(rf"{_LETTER}[{_SIGN}]|[{_SIGN}]{_LETTER}|({_LETTER})\1")
+#: Three or more single letters with separators.
+_SPACED = re.compile(rf"(?<!{_SINGLE}){_SINGLE}(?:{_GAP}{_SINGLE}){{2,}}(?!{_SINGLE})")
+#: A token, and the separators to a next one if there are one to three.
+_PIECE = re.compile(rf"({_SINGLE}+)((?:{_GAP}(?={_SINGLE}))?)")
+#: A gap joins tokens of which one is as short as this, into words of so many letters at most.
+SHORT, LONGEST_JOINED = 3, 32
 _WORD = re.compile(r"\w+")
 
 # -------------------------------------------------------------------------------------------- character language model
@@ -49,6 +56,11 @@ def classes(text: str) -> np.ndarray:
     return np.where(codes < 0x180, _CLASSES[np.minimum(codes, 0x17F)], OTHER)
 
 
+@lru_cache(maxsize=10_000)
+def letter_class(letter: str) -> int:
+    return int(classes(letter)[0])
+
+
 def character_counts(docs: DataFrame, text: str) -> DataFrame:
     """Trigrams of character classes over all texts: (code, n). A task adds up what it reads before anything is moved."""
 
@@ -77,13 +89,13 @@ class Characters:
         p = one / one.sum()
         p2 = (bi + 5 * p) / (bi.sum(1, keepdims=True) + 5)
         p3 = (tri + 5 * p2[None]) / (tri.sum(2, keepdims=True) + 5)
-        self.log = np.log(p3).astype(np.float32)
+        self.log = np.ascontiguousarray(np.log(p3).astype(np.float32))
 
     def restore(self, stretch: str) -> str:
         """The best path through the lattice of a stretch, with a boundary at both ends."""
-        log = self.log
+        log = memoryview(self.log.reshape(-1))
         inner = stretch.lower()
-        spaced = len(inner) > 4 and all(inner[i] in _SEPARATORS for i in range(1, len(inner), 2))
+        spaced = bool(_SPACED.fullmatch(inner))
         #: Two last classes -> (log probability, text).
         paths: dict[tuple[int, int], tuple[float, str]] = {(0, 0): (0.0, "")}
         for i, char in enumerate(inner):
@@ -93,6 +105,8 @@ class Characters:
                 choices.append((char, -1.0 if repeated else 0.0))
                 if repeated and (i > 1 and inner[i - 2] == char or inner[i + 1 : i + 2] == char):
                     choices.append(("", -0.1))
+                elif repeated:
+                    choices.append(("", -3.0))
             elif char in _LEET:
                 choices += [(letter, -1.5) for letter in _LEET[char]]
                 choices.append((char, -0.5) if not spaced else (char, -3.0))
@@ -103,32 +117,41 @@ class Characters:
             else:
                 choices.append((char, 0.0))
             following: dict[tuple[int, int], tuple[float, str]] = {}
+            numbered = [(letter, cost, letter_class(letter) if letter.isalpha() else 0) for letter, cost in choices]
             for (a, b), (score, text) in paths.items():
-                for letter, cost in choices:
+                place = (a * SYMBOLS + b) * SYMBOLS
+                for letter, cost, c in numbered:
                     if not letter:
                         state, now = (a, b), score + cost
                     else:
-                        c = int(classes(letter)[0]) if letter.isalpha() else 0
                         state = (b, c) if c or b else (a, b)
-                        now = score + cost + (float(log[a, b, c]) if c or b else -1.0)
+                        now = score + cost + (log[place + c] if c or b else -1.0)
                     if state not in following or now > following[state][0]:
                         following[state] = (now, text + letter)
             paths = following
-        return max((score + float(log[a, b, 0]), text) for (a, b), (score, text) in paths.items())[1]
+        return max((score + log[(a * SYMBOLS + b) * SYMBOLS], text) for (a, b), (score, text) in paths.items())[1]
+
+
+    def joins(self, left: str, right: str, spaces: bool) -> bool:
+        """Whether two parts of a word are likelier than two words. Only the two letters on each side of the gap matter; a gap of
+        other separators than spaces is a disguise more often."""
+        a, b = ([0] + classes(left[-2:]).tolist())[-2:]
+        c, d = (classes(right[:2]).tolist() + [0])[:2]
+        log = self.log
+        return float(log[a, b, c] + log[b, c, d] - log[a, b, 0] - log[b, 0, c] - log[0, c, d]) > (0.5 if spaces else -3.0)
 
 
 _LOW = np.arange(256, dtype=np.uint8)
 _LOW[65:91] += 32
 _IS_LETTER = np.array([0x61 <= _LOW[b] <= 0x7A or b >= 0xC0 for b in range(256)])
 _IS_SIGN = np.array([chr(b) in _LEET for b in range(256)])
-_ENDS_WORD = np.array([chr(b) in "0123456789@$" for b in range(256)])
 _IS_SINGLE = _IS_LETTER | _IS_SIGN | np.array([0x30 <= b <= 0x39 for b in range(256)])
 _IS_SEPARATOR = np.array([chr(b) in _SEPARATORS for b in range(256)])
 
 
 def may_be_disguised(column: pa.Array) -> np.ndarray:
-    """Which texts can hold a disguised stretch at all: signs next to letters, a letter three times, or three single letters. Looks
-    at the first byte of each character, so it may say yes for nothing, never no for something."""
+    """Which texts can hold a disguised stretch at all: signs next to letters, a letter twice, or separators after letters or signs.
+    Looks at the first byte of each character, so it may say yes for nothing, never no for something."""
     data, offsets = text_view(column)
     first = (data & 0xC0) != 0x80
     ends = np.concatenate([[0], np.cumsum(first)])[offsets]
@@ -138,17 +161,8 @@ def may_be_disguised(column: pa.Array) -> np.ndarray:
         return out
     letter = _IS_LETTER[c]
     hit = np.zeros(len(c), bool)
-    hit[:-1] = (_IS_SIGN[c[:-1]] & letter[1:]) | (letter[:-1] & _ENDS_WORD[c[1:]])
-    hit[:-2] |= letter[:-2] & (c[:-2] == c[1:-1]) & (c[1:-1] == c[2:])
-    if len(c) >= 5:
-        single, apart = _IS_SINGLE[c], _IS_SEPARATOR[c]
-        three = single[:-4] & apart[1:-3] & single[2:-2] & apart[3:-1] & single[4:]
-        inside = single & (c < 0x80)  # surely part of a longer word
-        begins = np.zeros(len(c) + 1, bool)
-        begins[ends] = True
-        three[1:] &= ~inside[:-5] | begins[1:-5]
-        three[:-1] &= ~inside[5:] | begins[5:-1]
-        hit[:-4] |= three
+    sign, single = _IS_SIGN[c], _IS_SINGLE[c]
+    hit[:-1] = (sign[:-1] & letter[1:]) | (letter[:-1] & sign[1:]) | (letter[:-1] & (c[:-1] == c[1:])) | (single[:-1] & _IS_SEPARATOR[c[1:]])
     out[np.searchsorted(ends, np.flatnonzero(hit), "right") - 1] = True
     return out
 
@@ -157,19 +171,57 @@ class Restorer:
     def __init__(self, characters: Characters, remembered: int = 100_000) -> None:
         self.characters, self.remembered = characters, remembered
         self.known: dict[str, str] = {}
+        self.gaps: dict[tuple[str, str, bool], bool] = {}
+
+    def form(self, stretch: str) -> str:
+        """The restored stretch, or the stretch itself."""
+        got = self.known.get(stretch)
+        if got is None:
+            if len(self.known) > self.remembered:
+                self.known.clear()
+            got = stretch
+            if _DISGUISED.search(stretch) or _SPACED.fullmatch(stretch):
+                # A very long stretch is restored in parts.
+                got = "".join(self.characters.restore(stretch[i : i + 64]) for i in range(0, len(stretch), 64))
+            self.known[stretch] = got
+        return got
+
+    def joins(self, left: str, right: str, gap: str) -> bool:
+        key = left[-2:], right[:2], gap.isspace()
+        got = self.gaps.get(key)
+        if got is None:
+            if len(self.gaps) > self.remembered:
+                self.gaps.clear()
+            got = self.gaps[key] = self.characters.joins(*key)
+        return got
 
     def words(self, text: str, disguised: bool = True) -> set[str]:
-        """The distinct words of the restored text; what a sign may hide is also read as it stands."""
+        """The distinct words of the restored text; what a sign may hide is also read as it stands, and of parts that a gap joins
+        also each run of them."""
         low = text.lower()
         found = set(_WORD.findall(low))
-        for match in _DISGUISED.finditer(low) if disguised else ():
-            stretch = match.group()
-            if stretch not in self.known:
-                if len(self.known) > self.remembered:
-                    self.known.clear()
-                # A very long stretch is restored in parts.
-                self.known[stretch] = "".join(self.characters.restore(stretch[i : i + 64]) for i in range(0, len(stretch), 64))
-            found.update(_WORD.findall(self.known[stretch]))
+        if not disguised:
+            return found
+        for match in _SPACED.finditer(low):
+            found.update(_WORD.findall(self.form(match.group())))
+        chain: list[str] = []
+        before = ""
+        for token, gap in _PIECE.findall(low):
+            form = self.form(token)
+            if form != token:
+                found.update(_WORD.findall(form))
+            if before and (len(form) <= SHORT or len(chain[-1]) <= SHORT) and self.joins(chain[-1], form, before):
+                chain.append(form)
+                for k in range(len(chain) - 2, -1, -1):
+                    word = "".join(chain[k:])
+                    if len(word) > LONGEST_JOINED:
+                        break
+                    found.add(word)
+                    if _DISGUISED.search(word):
+                        found.update(_WORD.findall(self.form(word)))
+            else:
+                chain = [form]
+            before = gap
         return found
 
 

@@ -7,6 +7,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from pyspark.sql import functions as F
@@ -18,7 +19,7 @@ from scrimlens.llm.html_text import extract, main_text
 from scrimlens.llm.language import Model, Pieces, _chances, identify
 from scrimlens.llm.licences import TEMPLATES, Matcher, scan
 from scrimlens.llm.packing import Harmonic, pack
-from scrimlens.llm.toxicity import SYMBOLS, Characters, classes, drop_toxic, toxicity
+from scrimlens.llm.toxicity import SYMBOLS, Characters, Restorer, classes, drop_toxic, may_be_disguised, toxicity
 from tests.llm.brute import levenshtein
 from tests.llm.conftest import AWKWARD
 
@@ -234,6 +235,18 @@ def test_restore_disguised_words():
         assert model.restore(disguised) == word
 
 
+def test_words_behind_wider_disguises():
+    model = characters("  " + "the moron and the idiot are a worthless stupid dumbass clown of a loser in the trash " * 20)
+    restorer = Restorer(model)
+    for disguised, word in [
+        ("dumba$$", "dumbass"), ("idi07", "idiot"), ("idio+", "idiot"), ("iidiot", "idiot"), ("idiioott", "idiot"), ("i..d..i..o..t", "idiot"),
+        ("i - d - i - o - t", "idiot"), ("i  d  i  o  t", "idiot"), ("id iot", "idiot"), ("i.diot", "idiot"), ("i_d iot", "idiot"), ("mor*on", "moron")]:
+        text = f"and the {disguised} in the trash"
+        assert may_be_disguised(pa.array([disguised, "", text])).tolist() == [True, False, True]
+        assert word in restorer.words(text), disguised
+    assert restorer.form("the") == "the" and "of" in restorer.words("clown of a loser!")
+
+
 def toxic_rows():
     rng = random.Random(10)
     plain = [f"calm{i}" for i in range(300)]
