@@ -14,6 +14,7 @@ from scrimlens.llm.language import identify
 from scrimlens.llm.licences import scan
 from scrimlens.llm.ngram_join import near_classes
 from scrimlens.llm.packing import pack
+from scrimlens.llm.periodic import periodic_runs
 from scrimlens.llm.substrings import span_digests
 from scrimlens.llm.toxicity import toxicity
 
@@ -66,14 +67,43 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbour_fingerprints(_documents(spark, sf_dir))
 
 
+def _repeating(docs: DataFrame) -> DataFrame:
+    """Every tenth document, chosen by a checksum of its id, repeats a stretch of its words from some word on to its end."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words, n = F.col("words"), F.col("n")
+    hit = docs.withColumn("_h", h).withColumn("_hit", F.coalesce(F.col("_h") % 10 == 0, F.lit(False)))
+    split = hit.withColumn("words", F.when(F.col("_hit"), F.regexp_extract_all("text", F.lit(r"([^\x20\x09-\x0D]+)"))))
+    g = F.floor(F.col("_h") / 10)
+    sized = split.withColumn("n", F.coalesce(F.size("words"), F.lit(0))).withColumn("a", F.when(n > 0, g % n).otherwise(0).cast("int"))
+    period = (1 + F.floor((n - F.col("a")) / (3 + g % 8))).cast("int")
+    cycle = F.flatten(F.array_repeat(F.slice(words, F.col("a") + 1, F.col("p")), F.ceil((n - F.col("a")) / F.col("p")).cast("int")))
+    planted = F.array_join(F.concat(F.slice(words, F.lit(1), F.col("a")), F.slice(cycle, F.lit(1), n - F.col("a"))), " ")
+    return sized.withColumn("p", period).select("doc_id", F.when(F.col("_hit") & (n > 0), planted).otherwise(F.col("text")).alias("text"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs(_repeating(_documents(spark, sf_dir).select("doc_id", "text")))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"].cast("string"), r["length"].cast("string"), r["period"].cast("string")), F.lit("\n")))
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.floor(1000 * F.col("best.length") / F.col("best.period")).cast("long").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
+
+
 QUERIES = {
     q.__name__: q
     for q in (
         op1_exact_dedup, op2_ngram_join, op3_packing, op4_language, op5_byte_bpe, op6_substring_dedup, op7_toxicity, op8_licences,
-        op9_html_text, op10_fingerprints)
+        op9_html_text, op10_fingerprints, op13_periodic_runs)
 }
 
 _WORDS = "regexp_extract_all({text}, '[^\\x20\\x09-\\x0D]+')"
+#: Checksum of a text of ASCII characters: each byte enters, then eight steps of the usual polynomial follow (-1).
+_CRC = (
+    "xor(list_reduce([4294967295::UBIGINT::HUGEINT] || flatten([[unicode(c)::HUGEINT] || [(-1)::HUGEINT FOR _ IN range(8)] FOR c IN string_split({text}, '')]), "
+    "lambda r, x: CASE WHEN x >= 0 THEN xor(r::UBIGINT, x::UBIGINT)::HUGEINT WHEN r % 2 = 1 THEN xor((r // 2)::UBIGINT, 3988292384::UBIGINT)::HUGEINT "
+    "ELSE r // 2 END)::UBIGINT, 4294967295::UBIGINT)::BIGINT")
 _FOLDED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 SQL = {
@@ -106,4 +136,28 @@ SQL = {
         removed AS (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id)
         SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_removed, sha256(coalesce(text, '')) AS kept_sha256
         FROM w LEFT JOIN removed USING (doc_id) LEFT JOIN kept USING (doc_id)""",
+    "op13_periodic_runs": f"""
+        WITH own AS (SELECT doc_id, {_WORDS.format(text="coalesce(text, '')")} AS words, {_CRC.format(text="doc_id::VARCHAR")} AS h FROM documents),
+        sized AS (SELECT doc_id, words, len(words) AS n, h, h // 10 AS g FROM own),
+        chosen AS (SELECT *, CASE WHEN h % 10 = 0 AND n > 0 THEN g % n END AS a FROM sized),
+        cycled AS (SELECT *, 1 + (n - a) // (3 + g % 8) AS p FROM chosen),
+        w AS (SELECT doc_id, n, CASE WHEN a IS NULL THEN words
+                     ELSE [words[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % p END] FOR i IN range(n)] END AS words FROM cycled),
+        t AS (SELECT doc_id, n, unnest(words) AS word, unnest(range(n)) AS i FROM w),
+        equal AS (SELECT x.doc_id, y.i - x.i AS q, x.i FROM t x JOIN t y ON x.doc_id = y.doc_id AND x.word = y.word
+                  AND y.i > x.i AND 4 * (y.i - x.i) <= x.n),
+        lots AS (SELECT *, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS lot FROM equal),
+        stretches AS (SELECT doc_id, q, min(i) AS start, count(*) + q AS length FROM lots GROUP BY doc_id, q, lot
+                      HAVING count(*) + q >= greatest(6, 4 * q)),
+        runs AS (SELECT doc_id, start, length, min(q) AS period FROM stretches GROUP BY doc_id, start, length),
+        best AS (SELECT doc_id, start, length, period FROM runs
+                 QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY length / period DESC, start, period) = 1),
+        listed AS (SELECT doc_id, count(*) AS n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS runs
+                   FROM runs GROUP BY doc_id),
+        gone AS (SELECT DISTINCT doc_id, unnest(range(start + period, start + length)) AS i FROM runs),
+        kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS text FROM t ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id)
+        SELECT w.doc_id, coalesce(n_runs, 0)::BIGINT AS n_runs, start::BIGINT AS start, length::BIGINT AS length, period::BIGINT AS period,
+               (1000 * length // period)::BIGINT AS exponent_milli, sha256(coalesce(runs, '')) AS runs_sha256,
+               sha256(coalesce(kept.text, '')) AS collapsed_sha256
+        FROM w LEFT JOIN best USING (doc_id) LEFT JOIN listed USING (doc_id) LEFT JOIN kept USING (doc_id)""",
 }
