@@ -17,6 +17,7 @@ from scrimlens.llm.packing import pack
 from scrimlens.llm.periodic import periodic_runs
 from scrimlens.llm.substrings import span_digests
 from scrimlens.llm.toxicity import toxicity
+from scrimlens.llm.whiten import whitening
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -67,6 +68,13 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbour_fingerprints(_documents(spark, sf_dir))
 
 
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = whitening(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), components=16)
+    by_component = F.posexplode(F.arrays_zip("whitened", "explained")).alias("place", "c")
+    return found.select("vec_id", "n", F.col("deviation").cast("long").alias("deviation"), "identity_error", by_component).select(
+        "vec_id", (F.col("place") + 1).alias("component"), "n", "deviation", "c.whitened", "c.explained", "identity_error")
+
+
 def _repeating(docs: DataFrame) -> DataFrame:
     """Every tenth document, chosen by a checksum of its id, repeats a stretch of its words from some word on to its end."""
     h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
@@ -95,7 +103,7 @@ QUERIES = {
     q.__name__: q
     for q in (
         op1_exact_dedup, op2_ngram_join, op3_packing, op4_language, op5_byte_bpe, op6_substring_dedup, op7_toxicity, op8_licences,
-        op9_html_text, op10_fingerprints, op13_periodic_runs)
+        op9_html_text, op10_fingerprints, op12_whitening, op13_periodic_runs)
 }
 
 _WORDS = "regexp_extract_all({text}, '[^\\x20\\x09-\\x0D]+')"
