@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scrimlens.llm.bpe import encode_documents
@@ -15,6 +15,7 @@ from scrimlens.llm.licences import scan
 from scrimlens.llm.ngram_join import near_classes
 from scrimlens.llm.packing import pack
 from scrimlens.llm.periodic import periodic_runs
+from scrimlens.llm.secrets import find_secrets
 from scrimlens.llm.substrings import span_digests
 from scrimlens.llm.toxicity import toxicity
 from scrimlens.llm.whiten import whitening
@@ -68,6 +69,20 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbour_fingerprints(_documents(spark, sf_dir))
 
 
+def op11_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_secrets(_documents(spark, sf_dir))
+
+    def listed(spans: Column) -> Column:
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id", count("assign"), count("access"), count("hex"),
+        F.sha2(listed(F.filter("spans", lambda s: s["base"])).cast("binary"), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"))
+
+
 def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = whitening(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), components=16)
     by_component = F.posexplode(F.arrays_zip("whitened", "explained")).alias("place", "c")
@@ -103,7 +118,7 @@ QUERIES = {
     q.__name__: q
     for q in (
         op1_exact_dedup, op2_ngram_join, op3_packing, op4_language, op5_byte_bpe, op6_substring_dedup, op7_toxicity, op8_licences,
-        op9_html_text, op10_fingerprints, op12_whitening, op13_periodic_runs)
+        op9_html_text, op10_fingerprints, op11_secrets, op12_whitening, op13_periodic_runs)
 }
 
 _WORDS = "regexp_extract_all({text}, '[^\\x20\\x09-\\x0D]+')"
