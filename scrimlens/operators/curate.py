@@ -11,41 +11,48 @@ from scrimlens.functions.expressions import date_keys, minutes_of, played_at, ro
 from scrimlens.operators.sizes import MAX_BROADCAST_ROWS, broadcast_if_small
 
 
-def promote(documents: DataFrame, entity: str = "puuid", text: str = "document",
-            ingested_at: Column | None = None) -> DataFrame:
-    """Landed match documents (entity, JSON text) -> raw rows with the filterable fields lifted out.
+def parsed_headers(documents: DataFrame, text: str = "document") -> DataFrame:
+    """Landed documents with their parsed header beside the text, as ``_doc``."""
+    return documents.withColumn("_doc", F.from_json(text, schemas.MATCH_HEADER))
+
+
+def has_id() -> Column:
+    """Whether a parsed header can be placed; the others are unreadable."""
+    return F.col("_doc.metadata.matchId").isNotNull()
 
-    The partition keys come from the day the game was played, so late arrivals
-    still land where they belong. Unreadable documents have no match id; they
-    are kept apart by :func:`unreadable`.
+
+def raw_rows(parsed: DataFrame, entity: str = "puuid", text: str = "document", ingested_at: Column | None = None) -> DataFrame:
+    """Readable parsed documents as raw rows with the filterable fields lifted out; other columns stay.
+
+    The partition keys come from the day the game was played, so late arrivals still land where they belong.
     """
     at = ingested_at if ingested_at is not None else F.current_timestamp()
-    # Generated, not filtered: a filter would be pushed down and parse every document a second time.
-    readable = F.filter(
-        F.array(F.from_json(text, schemas.MATCH_HEADER)), lambda d: d["metadata"]["matchId"].isNotNull())
-    lifted = documents.select(entity, text, F.explode(readable).alias("_doc"))
     info = "_doc.info."
-    return lifted.select(
+    others = [c for c in parsed.columns if c not in (entity, text, "_doc")]
+    return parsed.select(
         F.col("_doc.metadata.matchId").alias("match_id"),
         F.col(info + "gameCreation").alias("game_creation"), F.col(info + "gameDuration").alias("game_duration"),
         F.coalesce(info + "gameMode", F.lit("")).alias("game_mode"),
         F.coalesce(info + "queueId", F.lit(0)).alias("queue_id"),
         at.cast("string").alias("ingested_at"), F.col(text).alias("payload"),
-        F.col(entity).alias("puuid"), *date_keys(played_at(info + "gameCreation")),
+        F.col(entity).alias("puuid"), *date_keys(played_at(info + "gameCreation")), *others,
     )
 
 
-def unreadable(documents: DataFrame, text: str = "document") -> DataFrame:
-    """Documents that :func:`promote` cannot place."""
-    doc = F.from_json(text, schemas.MATCH_HEADER)
-    return documents.where(F.coalesce(doc["metadata"]["matchId"].isNull(), F.lit(True)))
+def promote(documents: DataFrame, entity: str = "puuid", text: str = "document",
+            ingested_at: Column | None = None) -> DataFrame:
+    """Landed match documents (entity, JSON text) -> raw rows. Unreadable documents have no match id and are left out."""
+    # Generated, not filtered: a filter would be pushed down and parse every document a second time.
+    readable = F.filter(
+        F.array(F.from_json(text, schemas.MATCH_HEADER)), lambda d: d["metadata"]["matchId"].isNotNull())
+    return raw_rows(documents.select(entity, text, F.explode(readable).alias("_doc")), entity, text, ingested_at)
 
 
 def promote_timelines(documents: DataFrame, raw_matches: DataFrame, text: str = "document",
                       ingested_at: Column | None = None) -> DataFrame:
     """Fetched timelines (match_id, JSON text or NULL) -> raw rows in their match's partition.
 
-    A missing timeline becomes an empty marker, so it is not asked for again.
+    A missing timeline becomes an empty marker, so it is not asked for again. Timelines without a match are not among the rows.
     """
     at = ingested_at if ingested_at is not None else F.current_timestamp()
     place = raw_matches.groupBy("match_id").agg(

@@ -45,7 +45,7 @@ def test_promotion(spark, raw, documents):
     r = rows["LA2_3", A]
     assert (r.year, r.month, r.day, r.queue_id, r.game_duration) == ("2025", "09", "11", 420, 1801)
     assert json.loads(r.payload)["metadata"]["matchId"] == "LA2_3"
-    bad = curate.unreadable(spark.createDataFrame(documents, "puuid string, document string"))
+    bad = curate.parsed_headers(spark.createDataFrame(documents, "puuid string, document string")).where(~curate.has_id())
     assert [b.document for b in bad.collect()] == ["{broken"]
 
 
@@ -130,7 +130,10 @@ def test_raw_round_trip_and_day_filter(spark, raw, documents, folder):
     with open(f"{folder}/puuid={A}/year=2025/month=09/day=02/extra.json", "w") as f:
         f.write("not json\n")
     assert readers.read_raw(spark, folder).count() == 6
-    assert [r._corrupt_record for r in readers.corrupt_lines(spark, folder).collect()] == ["not json"]
+    parts = readers.split_raw(spark, folder, f"{folder}_staging")
+    assert parts.counts == {"accepted": 6, "rejected": 1} and parts.accepted.count() == 6
+    bad = parts.rejected.first()
+    assert bad._corrupt_record == "not json" and bad.file.endswith("/day=02/extra.json")
     assert "extra" in {r.match_id for r in readers.listed_match_ids(spark, folder).collect()}
 
 
