@@ -338,15 +338,6 @@ def test_late_rows_are_stored_once_despite_the_lookback(spark, raw, folder):
     assert readers.read_peers(spark, lake.peers).count() == 7
 
 
-def test_a_lost_state_version_is_an_error(spark, folder):
-    rows = spark.createDataFrame([(A, 1)], "puuid string, x int")
-    assert writers.read_state(spark, folder, -1) is None
-    writers.replace_state(rows, folder, 4)
-    assert writers.read_state(spark, folder, 4).count() == 1
-    with pytest.raises(FileNotFoundError):
-        writers.read_state(spark, folder, 3)
-
-
 def test_broken_documents_are_kept_beside_the_raw_rows(spark, documents, folder):
     broken = spark.createDataFrame([(A, "{no json"), (B, None), (B, '{"metadata": {}}')], "puuid string, document string")
     landed = spark.createDataFrame(documents, "puuid string, document string").unionByName(broken)
