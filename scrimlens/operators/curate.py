@@ -175,7 +175,7 @@ def _participant_id(puuid: str) -> Column:
 
 def flatten_frames(
     timelines: DataFrame, matches: DataFrame, peers: DataFrame, done: DataFrame | None = None,
-    most_broadcast: int = MAX_BROADCAST_ROWS,
+    most_broadcast: int = MAX_BROADCAST_ROWS, carry: Sequence[str] = (), minutes: Sequence[int] | None = None,
 ) -> DataFrame:
     """Per-minute rows of every tracked player with the lane rival alongside.
 
@@ -186,7 +186,7 @@ def flatten_frames(
     twice gives its rows twice; the append keeps one.
     """
     players = matches.where(F.col("team_position") != "").select(
-        "match_id", "puuid", "team_position", "champion_name", "win")
+        "match_id", "puuid", "team_position", "champion_name", "win", *carry)
     if done is not None:
         players = players.join(done.select("match_id", "puuid"), ["match_id", "puuid"], "left_anti")
     rivals = lane_rivals(players, peers)
@@ -195,14 +195,16 @@ def flatten_frames(
     if small:
         timelines = timelines.join(pending, "match_id", "left_semi")
     parsed = timelines.select("match_id", F.from_json("payload", schemas.TIMELINE_DOCUMENT)["info"].alias("info"))
-    ordered = parsed.select("match_id", F.col("info.participants").alias("participants"),
-                            in_time_order(F.col("info.frames")).alias("ordered"))
+    frames = F.col("info.frames")
+    if minutes is not None:
+        frames = F.filter(frames, lambda f: minute_of(f).isin(list(minutes)))
+    ordered = parsed.select("match_id", F.col("info.participants").alias("participants"), in_time_order(frames).alias("ordered"))
     narrow = ordered.select("match_id", "participants", F.struct(
         first_per_minute(F.col("ordered")).alias("frames")).alias("doc"))
     joined = narrow.join(tracked, "match_id").withColumns(
         {"_me": _participant_id("puuid"), "_rival": _participant_id("rival")}).where(F.col("_me").isNotNull())
     minutes = joined.select(
-        "match_id", "puuid", "team_position", "champion_name", "win", "_me", "_rival",
+        "match_id", "puuid", "team_position", "champion_name", "win", *carry, "_me", "_rival",
         F.explode("doc.frames").alias("frame"),
     ).select(
         "*", minute_of(F.col("frame")).alias("minute"),
@@ -219,5 +221,5 @@ def flatten_frames(
     return minutes.select(
         "match_id", "minute", "team_position", "champion_name", "win",
         *[c.alias(n) for n, c in mine.items()], *[c.alias(f"{n}_rival") for n, c in theirs.items()],
-        *[(mine[n] - theirs[n]).alias(f"diff_{n}") for n in ("gold", "xp", "cs")], "puuid",
-    ).select(*schemas.TIMELINE_FRAME.names)
+        *[(mine[n] - theirs[n]).alias(f"diff_{n}") for n in ("gold", "xp", "cs")], "puuid", *carry,
+    ).select(*schemas.TIMELINE_FRAME.names, *carry)

@@ -134,25 +134,25 @@ def raw_kda_by_champion(spark: SparkSession, sf_dir: str) -> DataFrame:
         shown("deaths", 1).alias("deaths"), shown("assists", 1).alias("assists"), shown("kda_of_means", 2).alias("kda_of_means"))
 
 
-def _frames(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Frames and matches, with the curated tables written first, as the frame job expects them."""
+def _curated(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Matches and peers, written first, as the frame job expects them."""
     lake = curation.Lake(work_folder(spark))
     curation.curate_raw(raw_matches(spark, sf_dir), lake, buckets=16)
-    matches, peers = read_matches(spark, lake.matches), read_peers(spark, lake.peers)
-    return curate.flatten_frames(raw_timelines(spark, sf_dir), matches, peers), matches
+    return read_matches(spark, lake.matches), read_peers(spark, lake.peers)
 
 
 def timeline_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per-minute rows with the lane rival alongside."""
-    return _frames(spark, sf_dir)[0]
+    return curate.flatten_frames(raw_timelines(spark, sf_dir), *_curated(spark, sf_dir))
 
 
 def minute_benchmarks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per player, role and reference minute against the rival, solo queue, last 1500 days."""
-    frames, matches = _frames(spark, sf_dir)
-    dated = matches.where("queue_id = 420").where(since("played_at", LATE_AS_OF, 1500)).select("match_id", "puuid")
-    wanted = frames.where(F.col("minute").isin(*LANING_MINUTES)).join(dated, ["match_id", "puuid"])
-    marks = segments.minute_benchmarks(wanted, ["puuid", "team_position", "minute"])
+    matches, peers = _curated(spark, sf_dir)
+    dated = matches.where("queue_id = 420").where(since("played_at", LATE_AS_OF, 1500))
+    # Only the wanted matches and minutes are taken out of the documents.
+    frames = curate.flatten_frames(raw_timelines(spark, sf_dir), dated, peers, minutes=LANING_MINUTES)
+    marks = segments.minute_benchmarks(frames, ["puuid", "team_position", "minute"])
     return marks.select("puuid", "team_position", "minute", "n", *[
         shown(c, 2).alias(c) for c in ("cs", "cs_rival", "diff_cs", "gold", "diff_gold", "diff_gold_sd", "diff_xp", "level", "ahead_pct")])
 

@@ -12,6 +12,8 @@ RECOMMENDED = {
     # Reports aggregate ~140 columns in one pass; above this many fields Spark
     # leaves whole-stage code generation.
     "spark.sql.codegen.maxFields": "500",
+    # Tables in buckets of the match are joined on more than the match without moving them again.
+    "spark.sql.requireAllClusterKeysForCoPartition": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
