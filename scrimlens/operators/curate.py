@@ -63,12 +63,16 @@ def promote_timelines(documents: DataFrame, raw_matches: DataFrame, text: str =
     )
 
 
-def participants(raw: DataFrame, owner_only: bool = False) -> DataFrame:
-    """One row per participant of every raw match; ``owner_only`` keeps the tracked player before exploding."""
+def participants(raw: DataFrame, owner_only: bool = False, distinct: bool = False) -> DataFrame:
+    """One row per participant of every raw match; ``owner_only`` keeps the tracked player before exploding, ``distinct`` the first
+    of participants that a document names twice."""
     keys = ["match_id", "game_creation", "game_duration", "queue_id", "puuid"]
     parsed = raw.select(*keys, F.from_json("payload", schemas.MATCH_DOCUMENT)["info"].alias("info"))
     everyone = F.col("info.participants")
     wanted = F.filter(everyone, lambda p: p["puuid"] == F.col("puuid")) if owner_only else everyone
+    if distinct:
+        ids = F.transform(everyone, lambda p: F.coalesce(p["puuid"], F.lit("")))
+        wanted = F.filter(wanted, lambda p, i: F.array_position(ids, F.coalesce(p["puuid"], F.lit(""))) == i + 1)
     # The version leaves the document before the explode, so that no row drags the whole document along.
     # The people stay inside a struct: for a bare column Spark adds a size(...) > 0 filter and pushes it
     # down to the scan, where every document would be parsed a second time.
@@ -77,6 +81,13 @@ def participants(raw: DataFrame, owner_only: bool = False) -> DataFrame:
     return lifted.select(*keys, "game_version", F.explode("doc.people").alias("p"))
 
 
+def one_copy(raw: DataFrame) -> DataFrame:
+    """Of a match that several players stored the row of the smallest one, chosen by the narrow columns: no payload of another copy
+    is read further. Raw rows are unique per player and match, as :func:`append_raw` lands them."""
+    owners, _ = broadcast_if_small(raw.groupBy("match_id").agg(F.min("puuid").alias("puuid")))
+    return raw.join(owners, ["match_id", "puuid"], "left_semi")
+
+
 def _leaf(path: str, kind: str) -> Column:
     value = F.col(f"p.{path}")
     return (rounded_int(value) if kind == schemas.INT else value).alias(schemas.snake(path))
@@ -106,8 +117,8 @@ def _peer_columns() -> list[Column]:
 
 
 def peer_facts(people: DataFrame) -> DataFrame:
-    """Peer rows of everyone with an assigned role, once per match even if several owners stored it."""
-    return one_per_key(people.where(F.col("p.teamPosition") != "").select(*_peer_columns()), ["match_id", "puuid"])
+    """Peer rows of everyone with an assigned role; one per match and player if the people come from one copy of each match."""
+    return people.where(F.col("p.teamPosition") != "").select(*_peer_columns())
 
 
 def shared_parse(people: DataFrame) -> DataFrame:
@@ -128,7 +139,7 @@ def flatten_matches(raw: DataFrame) -> DataFrame:
 
 
 def flatten_peers(raw: DataFrame) -> DataFrame:
-    return peer_facts(participants(raw))
+    return peer_facts(participants(one_copy(raw), distinct=True))
 
 
 def only_new(rows: DataFrame, existing: DataFrame | None, keys: Sequence[str], unique: bool = False) -> DataFrame:

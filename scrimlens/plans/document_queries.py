@@ -81,8 +81,17 @@ def landed_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return documents.select(F.explode("owners").alias("puuid"), "document")
 
 
+#: Raw rows are built once per application and folder; the queries then read them as they would read a lake.
+_STORED: dict[tuple[str, str], str] = {}
+
+
 def raw_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return curate.promote(landed_documents(spark, sf_dir), ingested_at=F.lit("2024-01-01T00:00:00+00:00"))
+    key = spark.sparkContext.applicationId, sf_dir
+    if key not in _STORED:
+        path = f"{work_folder(spark)}/raw_matches"
+        curate.promote(landed_documents(spark, sf_dir), ingested_at=F.lit("2024-01-01T00:00:00+00:00")).write.parquet(path)
+        _STORED[key] = path
+    return spark.read.parquet(_STORED[key])
 
 
 def raw_timelines(spark: SparkSession, sf_dir: str) -> DataFrame:
