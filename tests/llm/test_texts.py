@@ -19,7 +19,7 @@ from scrimlens.llm.html_text import extract, main_text
 from scrimlens.llm.language import Model, Pieces, _chances, identify
 from scrimlens.llm.licences import TEMPLATES, Matcher, scan
 from scrimlens.llm.packing import Harmonic, pack
-from scrimlens.llm.toxicity import SYMBOLS, Characters, Restorer, classes, drop_toxic, may_be_disguised, toxicity
+from scrimlens.llm.toxicity import SYMBOLS, Characters, Finder, classes, drop_toxic, features, skeleton, toxicity
 from tests.llm.brute import levenshtein
 from tests.llm.conftest import AWKWARD
 
@@ -235,16 +235,73 @@ def test_restore_disguised_words():
         assert model.restore(disguised) == word
 
 
-def test_words_behind_wider_disguises():
+LEXICON = "moron idiot worthless stupid dumbass clown loser trash".split()
+DISGUISES = [
+    ("dumba$$", "dumbass"), ("idi07", "idiot"), ("idio+", "idiot"), ("iidiot", "idiot"), ("idiioott", "idiot"), ("i..d..i..o..t", "idiot"),
+    ("i - d - i - o - t", "idiot"), ("i  d  i  o  t", "idiot"), ("id iot", "idiot"), ("i.diot", "idiot"), ("i_d iot", "idiot"), ("mor*on", "moron"),
+    ("i    d    i    o    t", "idiot"), ("i/d/i/o/t", "idiot"), ("id\u200biot", "idiot"), ("i\u200bd\u200bi\u200bo\u200bt", "idiot"), ("m0r0n", "moron"),
+    ("x" * 70 + " 1d10t", "idiot"), ("idi" + "o" * 400 + "t", "idiot"), ("s" * 90 + "tupid", "stupid"), ("STU.P1D", "stupid"), ("wor th less", "worthless")]
+
+
+@pytest.fixture(scope="module")
+def finder():
     model = characters("  " + "the moron and the idiot are a worthless stupid dumbass clown of a loser in the trash " * 20)
-    restorer = Restorer(model)
-    for disguised, word in [
-        ("dumba$$", "dumbass"), ("idi07", "idiot"), ("idio+", "idiot"), ("iidiot", "idiot"), ("idiioott", "idiot"), ("i..d..i..o..t", "idiot"),
-        ("i - d - i - o - t", "idiot"), ("i  d  i  o  t", "idiot"), ("id iot", "idiot"), ("i.diot", "idiot"), ("i_d iot", "idiot"), ("mor*on", "moron")]:
-        text = f"and the {disguised} in the trash"
-        assert may_be_disguised(pa.array([disguised, "", text])).tolist() == [True, False, True]
-        assert word in restorer.words(text), disguised
-    assert restorer.form("the") == "the" and "of" in restorer.words("clown of a loser!")
+    return Finder(model, frozenset(f for w in LEXICON for f in features(w)))
+
+
+def test_words_behind_wider_disguises(finder):
+    for disguised, word in DISGUISES:
+        texts = [disguised, "", f"and the {disguised} in the trash", f"and {disguised}"]
+        found = finder.words(texts)
+        assert [word in f for f in found] == [True, False, True, True], disguised
+        assert "trash" in found[2] or word == "trash"
+    plain = finder.words(["clown of a loser!", "the cl0wn's", "a lotion, closer to it", "the\nid\niot"])
+    assert [w & set(LEXICON) for w in plain] == [{"clown", "loser"}, {"clown"}, set(), set()] and plain[0] == {"clown", "loser"}
+
+
+def test_skeleton_is_kept_by_every_path(finder):
+    """What the decoder writes has the skeleton of what it read, so nothing that it could find is passed over."""
+    rng = random.Random(4)
+    for _ in range(400):
+        text = "".join(rng.choices([*"idotmrnabcsu", "0", "1", "$", "!", "|", " ", "  ", ".", "-", "oo", "\u200b"], k=rng.randint(0, 14)))
+        assert skeleton(finder.characters.restore(text)) == skeleton(text)
+
+
+def test_viterbi_equals_all_paths(finder):
+    """The lattice of short stretches written out path by path."""
+    from itertools import product
+
+    from scrimlens.llm import toxicity as t
+
+    model, rng = finder.characters, random.Random(6)
+
+    def choices(units, i):
+        u, left, right = units[i], units[i - 1] if i else " ", units[i + 1] if i + 1 < len(units) else " "
+        if u in t._LEET:
+            alone = left == " " and right == " " and len(units) > 1
+            return [(x, t.SIGN_READ) for x in t._LEET[u]] + [(u, t.SIGN_KEPT_ALONE if alone else t.SIGN_KEPT)]
+        if u == " ":
+            return [(" ", 0.0), ("", t.BLANKS_INSIDE)]
+        many = right == u or i > 1 and units[i - 2] == u
+        return [(u, t.AGAIN if left == u else 0.0)] + ([("", t.MANY if many else t.TWICE)] if left == u else [])
+
+    for _ in range(150):
+        raw = rng.choices("idotms1$ ", k=rng.randint(1, 7))
+        units = [u for i, u in enumerate(raw) if not (u == " " and i and raw[i - 1] == " ")]
+        best = {}
+        for path in product(*(choices(units, i) for i in range(len(units)))):
+            a, b, score = 0, 0, 0.0
+            for letter, cost in path:
+                score += cost
+                if letter:
+                    c = int(classes(letter)[0]) if letter.isalpha() else 0
+                    score += float(model.log[a, b, c]) if c or b else -1.0
+                    a, b = (b, c) if c or b else (a, b)
+            score += float(model.log[a, b, 0])
+            text = "".join(x for x, _ in path)
+            best[text] = max(best.get(text, -1e9), score)
+        got = model.restore("".join(units))
+        assert best[got] >= max(best.values()) - 1e-4, (units, got)
 
 
 def toxic_rows():
