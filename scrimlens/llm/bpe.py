@@ -19,10 +19,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scrimlens.llm.common import id_in, id_out, slices
+from scrimlens.llm.common import Recent, id_in, id_out, slices
 
 #: States and words that a worker keeps before it starts anew; both only repeat work when they are dropped.
-MOST_STATES = 200_000
+MOST_STATES = 300_000
 REMEMBERED = 400_000
 
 
@@ -130,9 +130,9 @@ class Transducer:
         steps, state, out = self.steps, 0, []
         for byte in data:
             found = steps[state].get(byte) or self.step(state, byte)
-            state = found[0]
-            if found[1]:
-                out += found[1]
+            state, ready = found
+            if ready:
+                out += ready
         out += self.flush[state]
         return out
 
@@ -149,7 +149,7 @@ class Encoder:
 
         self.find = regex.compile(pattern).findall
         self.machine = Transducer(ranks)
-        self.known: dict[str, str] = {}
+        self.known = Recent()
 
     def matched(self, text: str) -> str:
         ids: list[int] = []
@@ -160,14 +160,11 @@ class Encoder:
     def encode_text(self, text: str) -> str:
         """The ids in decimals with a space between."""
         first, *pieces = text.split(" ")
-        known = self.known
-        if len(known) > REMEMBERED:
-            known.clear()
-        for piece in set(pieces):
-            if piece not in known:
-                if not piece or piece[0].isspace() or piece[-1].isspace():
-                    return self.matched(text)
-                known[piece] = self.matched(" " + piece)
+        known = self.known = self.known.turned(REMEMBERED)
+        for piece in known.unseen(set(pieces)):
+            if not piece or piece[0].isspace() or piece[-1].isspace():
+                return self.matched(text)
+            known[piece] = self.matched(" " + piece)
         if pieces and (not first or first[-1].isspace()):
             return self.matched(text)
         start = self.matched(first)

@@ -59,6 +59,30 @@ def block_count(docs: DataFrame, text: str, block_bytes: int) -> int:
     return max(1, -(-total // block_bytes))
 
 
+class Recent(dict):
+    """What a worker remembers, in two generations: when the young one is full it becomes the old one, from which what is asked for
+    again moves back. Frequent keys stay, memory is bounded by two generations."""
+
+    def __init__(self, old: dict | None = None) -> None:
+        super().__init__()
+        self.old = old if old is not None else {}
+        if isinstance(old, Recent):
+            old.old = {}
+
+    def __missing__(self, key: object) -> object:
+        value = self[key] = dict.pop(self.old, key)
+        return value
+
+    def unseen(self, keys: set) -> list:
+        """Of some keys those that neither generation has."""
+        old = self.old
+        return [k for k in keys - self.keys() if k not in old]
+
+    def turned(self, most: int) -> "Recent":
+        """This, or a new generation after it once it has more than `most` keys."""
+        return Recent(self) if len(self) > most else self
+
+
 # ---------------------------------------------------------------------------------------------- text in Arrow batches
 
 

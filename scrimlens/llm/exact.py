@@ -91,7 +91,13 @@ def exact_dedup(
 
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "min") -> DataFrame:
-    """The documents without exact copies, all columns; of rows repeated under one id and text one stays."""
-    key = "_exact_dedup_key"  # one plain key for the join and for repeated rows, so the texts are moved once for both
-    kept = exact_dedup(docs, id_col, text_col, keep).where("kept").select(id_in(id_col).alias(key)).distinct()
-    return docs.withColumn(key, id_in(id_col)).join(kept, key, "left_semi").dropDuplicates([key, text_col]).drop(key)
+    """The documents without exact copies, all columns: of equal texts one row stays, with the smallest (or largest) id.
+
+    A row is told by its id and its text, so an id that several texts carry keeps those of them that are no copies. A null text equals
+    an empty one; of rows repeated under one id and text one stays. A null id is the smallest. An empty table gives an empty result.
+    """
+    key, sha = "_exact_dedup_key", "_exact_dedup_sha"  # joined by what repeated rows share, so the texts are moved once for both
+    kept = exact_dedup(docs, id_col, text_col, keep).where("kept").select(id_in(id_col).alias(key), F.col("text_sha256").alias(sha)).distinct()
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    marked = docs.withColumns({key: id_in(id_col), sha: F.sha2(text.cast("binary"), 256)})
+    return marked.join(kept, [key, sha], "left_semi").dropDuplicates([key, sha]).drop(key, sha)

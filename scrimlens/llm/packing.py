@@ -7,6 +7,7 @@ smaller class's slot and the remainder is classed again. Every task packs what i
 
 from __future__ import annotations
 
+import re
 import zlib
 from array import array
 from collections import defaultdict
@@ -19,11 +20,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scrimlens.llm.common import id_in, id_out, slices
+from scrimlens.llm.common import Recent, id_in, id_out, slices
 
 PIECES = "id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 _NAMES = [c.split()[0] for c in PIECES.split(", ")]
-#: Distinct chunks of text whose ids a worker remembers before it starts anew.
+#: Distinct chunks of text in each of the two generations whose ids a worker remembers.
 REMEMBERED = 400_000
 
 
@@ -31,30 +32,30 @@ class Chunks:
     """Token ids of a text as little-endian bytes. The vocabulary drops white space, so chunks between blanks stand alone.
 
     A chunk of Latin letters, with one comma or full stop after it at most, is left alone by the vocabulary's normal form and
-    split but for its case. Its letters are encoded without these two steps, once for all spellings.
+    split but for its case. Its letters are encoded without these two steps, once for all spellings. A text that may hold one of
+    the vocabulary's own markers (such as that of the end of a text) is encoded as a whole, with the markers' ids.
     """
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         self.plain = Tokenizer.from_file(path)
-        self.plain.encode_special_tokens = True
         self.plain.normalizer = normalizers.Sequence([])
         self.plain.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.marks = {m: np.array(self.tokenizer.encode(m, add_special_tokens=False).ids, "<u4").tobytes() for m in ",."}
-        self.known: dict[str, bytes] = {}
-        self.letters: dict[str, bytes] = {}
+        markers = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.marker = re.compile("|".join(map(re.escape, markers)), re.IGNORECASE).search if markers else lambda _: None
+        self.known, self.letters = Recent(), Recent()
 
     @staticmethod
-    def encode_all(tokenizer: object, chunks: list[str], into: dict[str, bytes]) -> None:
+    def encode_all(tokenizer: object, chunks: list[str], into: Recent) -> None:
         for first in range(0, len(chunks), 4096):
             part = chunks[first : first + 4096]
             for chunk, got in zip(part, tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
                 into[chunk] = array("I", got.ids).tobytes()
 
-    def learn(self, chunks: set[str]) -> None:
+    def learn(self, chunks: list[str]) -> None:
         simple: dict[str, tuple[str, bytes]] = {}
         other = []
         for chunk in chunks:
@@ -66,19 +67,20 @@ class Chunks:
             else:
                 other.append(chunk)
         self.encode_all(self.tokenizer, other, self.known)
-        self.encode_all(self.plain, list({w for w, _ in simple.values()} - self.letters.keys()), self.letters)
+        self.encode_all(self.plain, self.letters.unseen({w for w, _ in simple.values()}), self.letters)
         for chunk, (letters, mark) in simple.items():
             self.known[chunk] = self.letters[letters] + mark
 
     def encode(self, texts: list[str | None]) -> Iterator[bytes]:
         split = [(t or "").replace("\n", " ").split(" ") for t in texts]
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
-            self.letters.clear()
-        self.learn(set().union(*split) - self.known.keys())
+        self.known, self.letters = self.known.turned(REMEMBERED), self.letters.turned(REMEMBERED)
+        self.learn(self.known.unseen(set().union(*split)))
         get = self.known.__getitem__
-        for chunks in split:
-            yield b"".join(map(get, chunks))
+        for text, chunks in zip(texts, split, strict=True):
+            if text and "|" in text and self.marker(text):
+                yield array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+            else:
+                yield b"".join(map(get, chunks))
 
 
 @lru_cache(maxsize=2)
@@ -145,7 +147,8 @@ def pack(
 
     `tokenizer` is the path of a vocabulary file that drops white space; each document is its ids and then `end_id`. Null and
     empty texts are the end id alone. Rows repeated under one id are packed each by itself. A piece that would leave more than
-    `slack` of its length unused is cut. Sequences are numbered by task and place; an empty table gives no pieces.
+    `slack` of its length unused is cut. Sequences are numbered by task and place; an empty table gives no pieces. Other columns
+    are not read; of equal texts each is packed. A text is encoded whole, and its ids are in memory until its last piece is out.
     """
     schema = pa.schema([(n, pa.int64()) for n in _NAMES])
 
