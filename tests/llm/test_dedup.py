@@ -71,6 +71,14 @@ def test_drop_copies(awkward, empty):
     assert drop_copies(empty).count() == exact_dedup(empty).count() == 0
 
 
+def test_drop_copies_under_repeated_ids(table):
+    """A row whose id is kept for another text is still a copy of its own text."""
+    rows = [(1, "B"), (5, "A"), (5, "B"), (5, "A"), (7, None), (7, ""), (None, "A")]
+    left = lambda keep: sorted((str(r.doc_id), r.text or "") for r in drop_copies(table(rows), keep=keep).collect())
+    assert left("min") == [("1", "B"), ("7", ""), ("None", "A")]
+    assert left("max") == [("5", "A"), ("5", "B"), ("7", "")]
+
+
 def test_near_classes_awkward(awkward, table, empty):
     want = brute.near_classes(DISTINCT)
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in near_classes(table(DISTINCT)).collect()}

@@ -115,7 +115,6 @@ def test_harmonic_bins_hold_their_number():
 
 def check_packing(rows, got):
     tokenizer = Tokenizer.from_file(WORDS)
-    tokenizer.encode_special_tokens = True
     ids = {i: [*tokenizer.encode(t or "", add_special_tokens=False).ids, 1] for i, t in rows}
     for i, want in ids.items():
         mine = sorted((r for r in got if r.doc_id == i), key=lambda r: r.start)
@@ -145,6 +144,14 @@ def test_pack(awkward, table, empty):
     assert pack(empty, WORDS).count() == 0
 
 
+def test_markers_in_a_text_get_their_ids(table):
+    marks = ["hello <|endoftext|> world", "<|startoftext|>", "a<|endoftext|>b|c", "<|ENDOFTEXT|> <|end of text|>", "x <| y |> z", "<|endoftext|>" * 300]
+    rows = list(enumerate([*marks, *(m + " " + t for m, t in zip(marks * 9, random_texts(50, 3)))]))
+    got = pack(table(rows), WORDS).collect()
+    check_packing(rows, got)
+    assert next(r.doc_tokens for r in got if r.doc_id == 0) == 4
+
+
 # ------------------------------------------------------------------------------------------------------- fingerprints
 
 
