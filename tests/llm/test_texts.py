@@ -210,6 +210,30 @@ def test_forward_sums_all_segmentations():
     assert Pieces(pieces).find(Pieces(pieces)._hashes(["ba", "zz"])).tolist() == [pieces.index("ba"), -1]
 
 
+def test_long_words_over_the_whole_vocabulary():
+    """All segmentations of words far longer than any piece, against exact fractions; pieces of any length count."""
+    from fractions import Fraction
+
+    from scrimlens.llm.language import read_pieces
+
+    pieces = read_pieces(PIECES)
+    assert max(map(len, pieces)) == 16 and "▁information" in pieces
+    rng = np.random.default_rng(2)
+    model = Model(pieces, ["x", "y"], _chances(rng.integers(0, 50, (len(pieces), 2)).astype(float)))
+    place = {p: i for i, p in enumerate(pieces)}
+    words = ["▁" + "informationtranslationbusinesssomething" * 2, "▁" + "ab" * 40, "▁zażółćгёпт" * 8, "▁a", "▁" + "日本" * 60, "▁donaudampfschifffahrtsgesellschaft"]
+    for word, got in zip(words, model.log_chances(words), strict=True):
+        for k in (0, 1):
+            ahead = [Fraction(1)] + [Fraction(0)] * len(word)
+            for end in range(1, len(word) + 1):
+                for begin in range(max(0, end - 16), end):
+                    at = place.get(word[begin:end])
+                    if at is not None or end == begin + 1:
+                        ahead[end] += ahead[begin] * Fraction(float(model.chances[-1 if at is None else at, k]))
+            want = np.log(float(ahead[-1])) if float(ahead[-1]) > 1e-300 else ahead[-1].numerator.bit_length() * np.log(2) - ahead[-1].denominator.bit_length() * np.log(2)
+            assert abs(got[k] - want) < (1e-9 * abs(want) if float(ahead[-1]) > 1e-300 else 1.5), (word, k)
+
+
 def test_identify(spark, table, awkward, empty):
     talk = {"en": "the of and that with from this were which their", "de": "der die und nicht mit sich auf eine wird auch", "fr": "le les des une que pour dans est pas avec"}
     rng = random.Random(8)
