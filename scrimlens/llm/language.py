@@ -20,14 +20,18 @@ from scrimlens.llm.common import id_in, id_out, mix, settle, slices
 
 #: Documents of each language that the distributions are learned from at most; beyond, a sample by the hash of the id.
 TRAINING_DOCS = 2_000
-LONGEST_PIECE = 8
-#: Letters of a word that are looked at together; longer words are cut there.
-LONGEST_WORD = 24
+#: Letters of the longest words that the distributions are learned from; longer ones are scored like all others, whole.
+LEARNED_LETTERS = 24
+#: Places of words in one go of the forward algorithm, and the letters after which its sums are scaled again.
+TOGETHER, RESCALED = 1 << 18, 8
 REMEMBERED = 400_000
 _WORD = re.compile(r"[^\W\d_]+")
 _U = np.uint64
 _BASE = _U(0x5851F42D4C957F2D)
 _UNKNOWN = 1e-9  # a letter that no piece holds
+#: What the table says of a stretch that is no piece: nothing begins with it, or longer pieces do. The first is also the place of
+#: unknown letters, the last row of the chances.
+_NONE, _BEGINNING = -1, -2
 
 
 def read_pieces(path: str) -> list[str]:
@@ -36,21 +40,24 @@ def read_pieces(path: str) -> list[str]:
 
     model = sentencepiece.SentencePieceProcessor(model_file=path)
     found = (model.id_to_piece(i) for i in range(model.get_piece_size()) if not (model.is_control(i) or model.is_unknown(i) or model.is_byte(i)))
-    return sorted({p for p in found if p == p.lower() and len(p) <= LONGEST_PIECE and (p[p[0] == "▁" :].isalpha() or p == "▁")})
+    return sorted({p for p in found if p == p.lower() and (p[p[0] == "▁" :].isalpha() or p == "▁")})
 
 
 class Pieces:
-    """Numbers of all pieces inside words: by word, first letter and length. A table of hashes with open places finds them."""
+    """Numbers of all pieces inside words: by word, first letter and length. A table of hashes with open places finds them; it
+    also knows the beginnings of pieces, so that a stretch no piece goes on with is followed no further."""
 
     def __init__(self, pieces: list[str]) -> None:
-        self.pieces = pieces
-        self.bits = max(8, (4 * len(pieces)).bit_length())
+        self.pieces, self.longest = pieces, max(map(len, pieces), default=1)
+        numbers = dict.fromkeys((p[:i] for p in pieces for i in range(1, len(p))), _BEGINNING)
+        numbers |= {p: i for i, p in enumerate(pieces)}
+        self.bits = max(8, (4 * len(numbers)).bit_length())
         self.keys = np.zeros(1 << self.bits, _U)
-        self.numbers = np.full(1 << self.bits, -1, np.int32)
+        self.numbers = np.full(1 << self.bits, _NONE, np.int32)
         self.probes = 1
-        for number, (key, piece) in enumerate(zip(self._hashes(pieces).tolist(), pieces, strict=True)):
+        for key, number in zip(self._hashes(list(numbers)).tolist(), numbers.values(), strict=True):
             at, step = key >> (64 - self.bits), 0
-            while self.numbers[(at + step) & ((1 << self.bits) - 1)] >= 0:
+            while self.numbers[(at + step) & ((1 << self.bits) - 1)] != _NONE:
                 step += 1
             self.keys[(at + step) & ((1 << self.bits) - 1)] = key
             self.numbers[(at + step) & ((1 << self.bits) - 1)] = number
@@ -62,49 +69,60 @@ class Pieces:
         return data.reshape(len(words), width)
 
     def _hashes(self, pieces: list[str]) -> np.ndarray:
-        codes = self.codes(pieces, LONGEST_PIECE)
+        if not pieces:
+            return np.zeros(0, _U)
+        codes = self.codes(pieces, self.longest)
         out = np.zeros(len(pieces), _U)
-        for i in range(LONGEST_PIECE):
+        for i in range(self.longest):
             out = np.where(codes[:, i] > 0, out * _BASE + codes[:, i].astype(_U) + _U(1), out)
         return mix(out)
 
     def find(self, keys: np.ndarray) -> np.ndarray:
         place = (keys >> _U(64 - self.bits)).astype(np.int64)
-        out = np.full(len(keys), -1, np.int32)
+        out = np.full(len(keys), _NONE, np.int32)
         for step in range(self.probes):
             at = (place + step) & ((1 << self.bits) - 1)
-            out = np.where((self.keys[at] == keys) & (out < 0), self.numbers[at], out)
+            out = np.where((self.keys[at] == keys) & (out == _NONE), self.numbers[at], out)
         return out
 
     def lattice(self, words: list[str]) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-        """(begin, end, rows, pieces) for all places of words of up to LONGEST_WORD letters with the boundary before them."""
+        """(begin, end, rows, pieces) for all places of words with the boundary before them, by rising begin."""
         width = max(map(len, words))
         codes = self.codes(words, width).astype(_U)
         lengths = np.array([len(w) for w in words])
         for begin in range(width):
             rows = np.flatnonzero(lengths > begin)
             rolling = np.zeros(len(rows), _U)
-            for end in range(begin + 1, min(width, begin + LONGEST_PIECE) + 1):
+            for end in range(begin + 1, min(width, begin + self.longest) + 1):
                 long = lengths[rows] >= end
                 rows, rolling = rows[long], rolling[long]
+                if not len(rows):
+                    break
                 rolling = rolling * _BASE + codes[rows, end - 1] + _U(1)
                 numbers = self.find(mix(rolling))
                 if end == begin + 1:
-                    yield begin, end, rows, numbers  # a single letter may be unknown
-                elif (numbers >= 0).any():
-                    yield begin, end, rows[numbers >= 0], numbers[numbers >= 0]
+                    yield begin, end, rows, np.where(numbers >= 0, numbers, _NONE)  # a single letter may be unknown
+                elif (found := numbers >= 0).any():
+                    yield begin, end, rows[found], numbers[found]
+                on = numbers != _NONE
+                rows, rolling = rows[on], rolling[on]
+
+
+def _together(words: list[str]) -> Iterator[np.ndarray]:
+    """Places of words of about the same length, so many at a time that their letters fill the room."""
+    lengths = np.array([len(w) for w in words])
+    order = np.argsort(lengths, kind="stable")
+    first = 0
+    while first < len(order):
+        rows = max(1, TOGETHER // (int(lengths[order[first]]) + 1))
+        rows = max(1, min(rows, TOGETHER // (int(lengths[order[min(first + rows, len(order)) - 1]]) + 1)))
+        yield order[first : first + rows]
+        first += rows
 
 
 def split_words(text: str) -> list[str]:
-    """Words as ▁ and small letters, long ones in parts."""
-    out = []
-    for word in _WORD.findall(text.lower()):
-        if len(word) < LONGEST_WORD:
-            out.append("▁" + word)
-        else:
-            marked = "▁" + word
-            out += [marked[i : i + LONGEST_WORD] for i in range(0, len(marked), LONGEST_WORD)]
-    return out
+    """Words as ▁ and small letters."""
+    return ["▁" + word for word in _WORD.findall(text.lower())]
 
 
 class Model:
@@ -115,25 +133,31 @@ class Model:
     def log_chances(self, words: list[str]) -> np.ndarray:
         """Log probability of each word in each language, all segmentations summed."""
         out = np.empty((len(words), len(self.languages)))
-        order = np.argsort([len(w) for w in words], kind="stable")
-        for first in range(0, len(words), 8192):
-            part = order[first : first + 8192]
+        longest = self.table.longest
+        for part in _together(words):
             chosen = [words[i] for i in part]
-            ahead = np.zeros((max(map(len, chosen)) + 1, len(chosen), len(self.languages)))
+            lengths, every = np.array([len(w) for w in chosen]), np.arange(len(chosen))
+            ahead = np.zeros((int(lengths.max()) + 1, len(chosen), len(self.languages)))
             ahead[0] = 1
+            taken = np.zeros(len(chosen))  # logarithms of what the sums were divided by
+            scaled = 0
             for begin, end, rows, numbers in self.table.lattice(chosen):
+                if begin >= scaled + RESCALED:
+                    # The sums that are still open are divided by the largest of them; those of ended words stay as they are.
+                    open_, scaled = np.flatnonzero(lengths > begin), begin
+                    window = ahead[begin : begin + longest + 1, open_]
+                    most = window.max(axis=(0, 2))
+                    ahead[begin : begin + longest + 1, open_] = window / most[:, None]
+                    taken[open_] += np.log(most)
                 ahead[end, rows] += ahead[begin, rows] * self.chances[numbers]
-            lengths = np.array([len(w) for w in chosen])
-            out[part] = np.log(np.maximum(ahead[lengths, np.arange(len(chosen))], 1e-300))
+            out[part] = np.log(np.maximum(ahead[lengths, every], 1e-300)) + taken[:, None]
         return out
 
     def expected(self, words: list[str], counts: np.ndarray, language: int) -> np.ndarray:
         """How often each piece is expected in the words of one language, by forward and backward sums."""
         total = np.zeros(len(self.chances))
         chance = self.chances[:, language]
-        order = np.argsort([len(w) for w in words], kind="stable")
-        for first in range(0, len(words), 8192):
-            part = order[first : first + 8192]
+        for part in _together(words):
             chosen = [words[i] for i in part]
             steps = list(self.table.lattice(chosen))
             size = max(map(len, chosen)) + 1
@@ -171,7 +195,7 @@ def learn(docs: DataFrame, pieces: list[str], usable: Column, id_col: str, text_
         for batch in slices(batches, "text"):
             found: Counter[tuple[str, str]] = Counter()
             for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                found.update((lang, w) for w in split_words(text))
+                found.update((lang, w) for w in split_words(text) if len(w) <= LEARNED_LETTERS)
             if found:
                 langs, words = zip(*found, strict=True)
                 yield pa.RecordBatch.from_arrays([pa.array(langs), pa.array(words), pa.array(list(found.values()), pa.int64())], names=["lang", "word", "n"])
@@ -239,7 +263,8 @@ def identify(
     about `training_docs` of each language at most; language and id are no inputs of a prediction. lang_pred is a learned
     language, `und` with score 0.0 for null texts and texts without a letter, or when nothing could be learned. The score is the
     language's chance among the learned ones; of equal languages the first by name wins. Each row is predicted by itself,
-    repeated ones alike.
+    repeated ones alike; other columns are not read, an empty table gives an empty result. All pieces of small letters of the
+    vocabulary count, and words of any length are scored whole, all their segmentations summed.
     """
     held_out = F.lit(False) if held_out is None else held_out
     model = learn(docs, read_pieces(pieces), ~held_out, id_col, text_col, lang_col, training_docs, rounds)
