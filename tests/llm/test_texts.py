@@ -451,3 +451,18 @@ def test_extract(spark):
     by = {r.url: r for r in got}
     assert by["u"].n_chars == len(by["u"].text) and by[None].text == "" and by["w"].n_chars == 999_999 and by["w"].page_id is None
     assert extract(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
+
+
+def test_pages_that_close_nothing_take_linear_time():
+    import time
+
+    from scrimlens.llm.html_text import text_blocks
+
+    def seconds(html):
+        began = time.process_time()
+        text_blocks(html)
+        return time.process_time() - began
+
+    for piece in ("<div>x", "<div class=ad><article>x y", "<section id=main-nav><p>a</q>"):
+        small, large = seconds(piece * 3000), seconds(piece * 24_000)
+        assert large < 30 * max(small, 0.01), piece  # eight times the text; sixty-four times if each block looked at its whole path
