@@ -8,6 +8,7 @@ table, decides about each block; the tree and the table are the whole model.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 from html.parser import HTMLParser
@@ -38,10 +39,14 @@ _LAYOUT = re.compile(r"(?:has|with|no|without)[-_].*|hidden[-_](?:xs|sm|md|lg|xl
 
 class Element:
     """An open element: its place, whether it is the article, whether it stands apart by itself or only by its name, whether its
-    text is hidden."""
+    text is hidden. What does not change any more is carried down from the element above: whether anything up to here stands
+    apart by itself, and the outermost main element and article."""
 
     def __init__(self, tag: str, above: Element | None, article: bool, apart: bool, named: bool, hidden: bool) -> None:
         self.tag, self.above, self.article, self.apart, self.named, self.hidden = tag, above, article, apart, named, hidden
+        self.within_apart = apart or bool(above and above.within_apart)
+        self.main: Element | None = above.main if above and above.main else self if tag == "main" else None
+        self.outer: Element | None = above.outer if above and above.outer else self if tag == "article" else None
 
     def path(self) -> Iterator[Element]:
         place: Element | None = self
@@ -66,6 +71,8 @@ class _Reader(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.blocks: list[Block] = []
         self.open: list[Element] = []
+        self.tags: Counter[str] = Counter()  # of open elements
+        self.any_named = False
         self.parts: list[str] = []
         self.link_parts: list[str] = []
         self.link = 0
@@ -89,7 +96,7 @@ class _Reader(HTMLParser):
         if tag not in _BLOCKS and tag not in _HIDDEN:
             return
         if tag == "p" and self.open and self.open[-1].tag == "p":
-            self.open.pop()  # a paragraph ends where the next begins
+            self.tags[self.open.pop().tag] -= 1  # a paragraph ends where the next begins
         above = self.open[-1] if self.open else None
         article, apart, named, hidden = bool(above and above.article), False, False, bool(above and above.hidden)
         given = dict(attrs)
@@ -104,6 +111,8 @@ class _Reader(HTMLParser):
             apart |= "display:none" in (given.get("style") or "").replace(" ", "").lower()
             apart |= tag in _APART or (not article and tag == "header")
         self.open.append(Element(tag, above, article, apart, named, hidden or tag in _HIDDEN))
+        self.tags[tag] += 1
+        self.any_named |= named
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.handle_starttag(tag, attrs)
@@ -115,12 +124,13 @@ class _Reader(HTMLParser):
             self.flush()
         if tag == "a":
             self.link = 0
-        if tag in _BLOCKS or tag in _HIDDEN:
-            for place in range(len(self.open) - 1, -1, -1):
-                if self.open[place].tag == tag:
-                    del self.open[place:]
-                    self.link = self.link if tag in ("p", "li", "span") else 0
+        if self.tags[tag]:  # open somewhere: all that is open inside ends with it
+            while True:
+                ended = self.open.pop().tag
+                self.tags[ended] -= 1
+                if ended == tag:
                     break
+            self.link = self.link if tag in ("p", "li", "span") else 0
 
     def handle_data(self, data: str) -> None:
         if self.open and self.open[-1].hidden:
@@ -130,12 +140,35 @@ class _Reader(HTMLParser):
             self.link_parts.append(data + " ")
 
 
-def _path(block: Block) -> list[Element]:
-    return list(block.element.path()) if block.element else []
-
-
-def _apart(block: Block) -> bool:
-    return any(e.apart or e.named for e in _path(block))
+def _marked(blocks: list[Block]) -> list[bool]:
+    """Of each block whether an element around it stands apart, by itself or by its name; every element is looked at once."""
+    known: dict[int, bool] = {}
+    out = []
+    for block in blocks:
+        trail, place = [], block.element
+        while place is not None and id(place) not in known:
+            trail.append(place)
+            place = place.above
+        mark = place is not None and known[id(place)]
+        for e in reversed(trail):
+            mark = known[id(e)] = mark or e.apart or e.named
+        out.append(mark)
+    return out
+
+
+def _holds_another(top: Element, article: Element, articles: list[Element]) -> bool:
+    """Whether an element has other outermost articles than this one in it."""
+    apart: set[int] = set()
+    for other in articles:
+        trail, place = [], other
+        while place is not None and place is not top and id(place) not in apart:
+            trail.append(place)
+            place = place.above
+        if place is top and other is not article:
+            return True
+        if place is not top:
+            apart.update(map(id, trail))
+    return False
 
 
 def _clear_main(blocks: list[Block]) -> None:
@@ -143,26 +176,20 @@ def _clear_main(blocks: list[Block]) -> None:
     bears the name and has more words of its own than all that is not apart."""
     articles: dict[int, list] = {}  # the outermost article of each: element, words that are no links
     free = 0
-    for block in blocks:
-        path = _path(block)
+    for block, marked in zip(blocks, _marked(blocks), strict=True):
         plain = block.words - block.linked
-        free += 0 if any(e.apart or e.named for e in path) else plain
-        mains = [e for e in path if e.tag == "main"]
-        if mains and not any(e.apart for e in mains[-1].path()):
-            for e in mains[-1].path():
+        free += 0 if marked else plain
+        main, outer = (block.element.main, block.element.outer) if block.element else (None, None)
+        if main and not main.within_apart:
+            for e in main.path():
                 e.named = False
             return
-        outer = [e for e in path if e.tag == "article"]
-        if outer and not any(e.apart for e in outer[-1].path()):
-            articles.setdefault(id(outer[-1]), [outer[-1], 0])[1] += plain
-    within: dict[int, int] = {}
-    for article, _ in articles.values():
-        for e in article.path():
-            within[id(e)] = within.get(id(e), 0) + 1
+        if outer and not outer.within_apart:
+            articles.setdefault(id(outer), [outer, 0])[1] += plain
     for article, plain in sorted(articles.values(), key=lambda x: -x[1])[:1]:
-        marked = [e for e in article.path() if e.named]
-        if marked and plain > free and all(within[id(e)] == 1 for e in marked):
-            for e in marked:
+        named = [e for e in article.path() if e.named]
+        if named and plain > free and not _holds_another(named[-1], article, [a for a, _ in articles.values()]):
+            for e in named:
                 e.named = False
 
 
@@ -171,9 +198,13 @@ def text_blocks(html: str) -> list[Block]:
     reader.feed(html)
     reader.close()
     reader.flush()
-    if any(e.named for b in reader.blocks for e in _path(b)):
+    if reader.any_named:
         _clear_main(reader.blocks)
-    return [b._replace(apart=_apart(b)) for b in reader.blocks]
+    return _with_marks(reader.blocks)
+
+
+def _with_marks(blocks: list[Block]) -> list[Block]:
+    return [b._replace(apart=mark) for b, mark in zip(blocks, _marked(blocks), strict=True)]
 
 
 # ------------------------------------------------------------------------------------------------------ decision tree
@@ -251,11 +282,11 @@ def main_text(html: str) -> str:
     texts = _content(blocks)
     if not texts:
         # Nothing but what bears such a name: the other features decide about the element around the longest block.
-        longest = max((b for b in blocks if not any(e.apart for e in _path(b))), key=lambda b: b.words - b.linked, default=None)
+        longest = max((b for b in blocks if not (b.element and b.element.within_apart)), key=lambda b: b.words - b.linked, default=None)
         if longest and longest.apart:
-            for e in _path(longest):
+            for e in longest.element.path():
                 e.named = False
-            texts = _content([b._replace(apart=_apart(b)) for b in blocks])
+            texts = _content(_with_marks(blocks))
     return "\n".join(texts)
 
 
