@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Sequence
@@ -30,7 +31,7 @@ def work_folder(spark: SparkSession) -> str:
     """New folder under the cluster's shared checkpoint folder; a local one only in local mode."""
     base = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="scrimlens-")
     return f"{base.rstrip('/')}/scrimlens-{uuid.uuid4().hex}"
