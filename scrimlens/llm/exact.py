@@ -71,7 +71,8 @@ def exact_dedup(
     Texts are equal when identical after `normalise` (nothing by default); of equal texts the row with the smallest id stays,
     or the largest with keep="max". A null text is empty, and empty texts are equal. A null id counts as the smallest. Rows
     repeated under one id are copies of each other: the group counts each, and `kept` is true for each row of the kept id. Other
-    columns are not read; an empty table gives an empty result.
+    columns are not read; an empty table gives an empty result. Texts are compared whole; a very long one alone fills its place in a
+    range.
     """
     if keep not in ("min", "max"):
         raise ValueError("keep is min or max")

@@ -134,7 +134,8 @@ def neighbour_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: st
     The next document is the one of the next larger id, after the last the first; equal ids follow each other by text, a null id
     is the smallest, a null text is empty. A single document is its own next. Ranges of ids are dealt out by splitters from all
     ids, and each range also gets the first document of the following range, so neighbours meet without ordering the table in one
-    place.
+    place. Equal texts have equal fingerprints, a text of any length has one, other columns are not read, an empty table gives an
+    empty result.
     """
     spark = docs.sparkSession
     rows = docs.select(id_in(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))

@@ -295,7 +295,8 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
 
     Blocks of the article in page order, joined by one line feed; white space within a block, a line break included, is one space,
     character references are decoded. A null or empty page gives an empty text. Each row stands alone, repeated ones alike; a null
-    url stays null, other columns are not read.
+    url stays null, other columns are not read, an empty table gives an empty result. A page is read whole, in time that grows
+    with its length.
     """
     out = pa.schema([("id", pa.int64()), ("url", pa.string()), ("text", pa.string()), ("n_chars", pa.int64())])
 

@@ -182,7 +182,8 @@ def scan(
     of `threshold`. One whose lines and stretches with a licence hold at least `file_share` of its words is a licence file; of several in a directory the higher cosine wins, then the
     smaller id, a null id being the smallest. Documents without an own licence take that of the nearest directory upwards, their
     own included, or null. A null path has no directory, a null text no licence. Rows repeated under one id are files of their
-    own with equal results; an empty table gives an empty result.
+    own with equal results; an empty table gives an empty result. Every line of a text counts, however long the text is; other
+    columns are not read.
     """
     frequencies = {r["term"]: r["n"] for r in document_frequencies(docs, text_col).collect()}  # a row a term of the templates
     matcher_args = frequencies, threshold
