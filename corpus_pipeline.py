@@ -1,4 +1,7 @@
-"""A training-data pipeline over the documents: each stage works on what the one before has kept."""
+"""A training-data pipeline over the documents: each stage works on what the one before has kept.
+
+An empty table passes through all stages; other columns are carried along up to the last, and texts are taken whole at any length.
+"""
 
 from __future__ import annotations
 
@@ -15,27 +18,32 @@ from scrimlens.llm.toxicity import drop_toxic
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Without the documents that the lexicon, learned from the labels of these documents, predicts toxic."""
+    """Without the documents that the lexicon, learned from the labels of these documents, predicts toxic.
+
+    Null and empty texts are not toxic and stay; without labels all stay. Of rows under one id all go if one of them is toxic.
+    """
     return drop_toxic(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts the smallest doc_id stays."""
+    """Of equal texts the smallest doc_id stays, a null id being the smallest and a null text empty; an id that several texts carry
+    keeps those of them that are no copies."""
     return drop_copies(docs, keep="min")
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents linked by a Jaccard similarity of 0.75 or more over five-word shingles the smallest doc_id stays."""
+    """Of documents linked by a Jaccard similarity of 0.75 or more over five-word shingles the smallest doc_id stays. Texts without
+    words are linked with nothing and stay."""
     return keep_one(docs, size=5, share=75, of=100)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Passages of 20 words or more that start earlier elsewhere leave the text; no document leaves."""
+    """Passages of 20 words or more that start earlier elsewhere leave the text; no document leaves. A null text stays null."""
     return drop_repeats(docs, window=20).withColumn("n_chars", F.length("text").cast("long"))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sequences of 2048 tokens, as one row per piece."""
+    """Sequences of 2048 tokens, as one row per piece; a null or empty text is its end token alone."""
     return pack(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=1, capacity=2048)
 
 
