@@ -144,6 +144,25 @@ def test_pack(awkward, table, empty):
     assert pack(empty, WORDS).count() == 0
 
 
+def test_chunks_are_remembered_dropped_and_told_apart(monkeypatch):
+    """Few places to remember, and first hashes that collide all the time: the ids stay those of the library."""
+    from scrimlens.llm import packing
+
+    library = Tokenizer.from_file(WORDS)
+    texts = [*random_texts(400, 5), "a  b\n\nc", None, "", "don't, stop... now,.", "Word word, WORD. wörd", "end"]
+    want = [library.encode(t or "", add_special_tokens=False).ids for t in texts]
+    monkeypatch.setattr(packing, "REMEMBERED", 40)
+    for coarse in (False, True):
+        if coarse:
+            hashes = packing.byte_hashes
+            monkeypatch.setattr(packing, "byte_hashes", lambda data, starts, lane=0: hashes(data, starts, lane) % np.uint64(3 if lane == 0 else 1 << 60))
+        chunks = packing.Chunks(WORDS)
+        for size in (7, 50, len(texts)):
+            got = [d.tolist() for i in range(0, len(texts), size) for d in chunks.encode(pa.array(texts[i : i + size], pa.string()))]
+            assert got == want
+    assert len(chunks.number) <= 3
+
+
 def test_markers_in_a_text_get_their_ids(table):
     marks = ["hello <|endoftext|> world", "<|startoftext|>", "a<|endoftext|>b|c", "<|ENDOFTEXT|> <|end of text|>", "x <| y |> z", "<|endoftext|>" * 300]
     rows = list(enumerate([*marks, *(m + " " + t for m, t in zip(marks * 9, random_texts(50, 3)))]))
