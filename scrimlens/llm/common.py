@@ -144,6 +144,14 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _POWERS["up"], _POWERS["down"]
 
 
+def byte_hashes(data: np.ndarray, starts: np.ndarray, lane: int = 0) -> np.ndarray:
+    """64-bit hashes of the stretches of text that begin at these places and end before the next blank or line feed."""
+    up, down = powers(len(data))
+    letters = _letters(lane, False)
+    letters[[0x20, 0x0A]] = 0
+    return mix(np.add.reduceat(letters[data] * up[: len(data)], starts) * down[starts])
+
+
 class Words:
     """The words [^\\x20\\x09-\\x0D]+ of a column of texts: row of each, byte places and 64-bit hashes by lane."""
 

@@ -9,7 +9,6 @@ from __future__ import annotations
 
 import re
 import zlib
-from array import array
 from collections import defaultdict
 from collections.abc import Iterator
 from functools import lru_cache
@@ -20,20 +19,22 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scrimlens.llm.common import Recent, id_in, id_out, slices
+from scrimlens.llm.common import Recent, byte_hashes, id_in, id_out, slices, text_view
 
 PIECES = "id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 _NAMES = [c.split()[0] for c in PIECES.split(", ")]
-#: Distinct chunks of text in each of the two generations whose ids a worker remembers.
-REMEMBERED = 400_000
+#: Distinct chunks of text whose ids a worker remembers; beyond, those not seen since the last time are dropped.
+REMEMBERED = 800_000
 
 
 class Chunks:
-    """Token ids of a text as little-endian bytes. The vocabulary drops white space, so chunks between blanks stand alone.
+    """Token ids of texts. The vocabulary drops white space, so chunks between blanks and line feeds stand alone.
 
-    A chunk of Latin letters, with one comma or full stop after it at most, is left alone by the vocabulary's normal form and
-    split but for its case. Its letters are encoded without these two steps, once for all spellings. A text that may hold one of
-    the vocabulary's own markers (such as that of the end of a text) is encoded as a whole, with the markers' ids.
+    The chunks of a batch are told apart by two 64-bit hashes of their bytes; a chunk met for the first time is encoded and its ids go
+    to the end of one long array, so that the ids of a whole batch are one gather. A chunk of Latin letters, with one comma or
+    full stop after it at most, is left alone by the vocabulary's normal form and split but for its case: its letters are encoded
+    without these two steps, once for all spellings. A text that may hold one of the vocabulary's own markers (such as that of
+    the end of a text) is encoded as a whole, with the markers' ids.
     """
 
     def __init__(self, path: str) -> None:
@@ -43,44 +44,99 @@ class Chunks:
         self.plain = Tokenizer.from_file(path)
         self.plain.normalizer = normalizers.Sequence([])
         self.plain.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
-        self.marks = {m: np.array(self.tokenizer.encode(m, add_special_tokens=False).ids, "<u4").tobytes() for m in ",."}
+        self.marks = {m: self.tokenizer.encode(m, add_special_tokens=False).ids for m in ",."}
         markers = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.marker = re.compile("|".join(map(re.escape, markers)), re.IGNORECASE).search if markers else lambda _: None
-        self.known, self.letters = Recent(), Recent()
+        self.letters = Recent()
+        #: By first hash the chunk's number; by number the second hash, the place of its ids and whether it was seen of late.
+        self.number: dict[int, int] = {}
+        self.check, self.begin, self.seen = np.zeros(0, np.uint64), np.zeros(1, np.int64), np.zeros(0, bool)
+        self.ids = np.zeros(0, np.uint32)
+
+    def encode_chunks(self, chunks: list[str]) -> list[list[int]]:
+        low = [c[:-1].lower() if c[-1] in self.marks else c.lower() for c in chunks]
+        simple = [w.isalpha() and max(w) < "\u0180" and len(w) == len(c) - (c[-1] in self.marks) for w, c in zip(low, chunks, strict=True)]
+        other = [c for c, s in zip(chunks, simple, strict=True) if not s]
+        whole = dict(zip(other, self.ids_of(self.tokenizer, other), strict=True))
+        self.letters = self.letters.turned(REMEMBERED)
+        new = self.letters.unseen({w for w, s in zip(low, simple, strict=True) if s})
+        self.letters.update(zip(new, self.ids_of(self.plain, new), strict=True))
+        return [self.letters[w] + self.marks.get(c[-1], []) if s else whole[c] for c, w, s in zip(chunks, low, simple, strict=True)]
 
     @staticmethod
-    def encode_all(tokenizer: object, chunks: list[str], into: Recent) -> None:
-        for first in range(0, len(chunks), 4096):
-            part = chunks[first : first + 4096]
-            for chunk, got in zip(part, tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                into[chunk] = array("I", got.ids).tobytes()
-
-    def learn(self, chunks: list[str]) -> None:
-        simple: dict[str, tuple[str, bytes]] = {}
-        other = []
-        for chunk in chunks:
-            mark = self.marks.get(chunk[-1:], b"")
-            letters = chunk[:-1] if mark else chunk
-            low = letters.lower()
-            if letters.isalpha() and max(letters) < "\u0180" and len(low) == len(letters):
-                simple[chunk] = low, mark
+    def ids_of(tokenizer: object, chunks: list[str]) -> list[list[int]]:
+        return [got.ids for i in range(0, len(chunks), 4096) for got in tokenizer.encode_batch_fast(chunks[i : i + 4096], add_special_tokens=False)]
+
+    def forget(self) -> None:
+        """Keep the chunks seen since the last time."""
+        kept = np.flatnonzero(self.seen)
+        place = np.cumsum(self.seen) - 1
+        self.number = {h: int(place[n]) for h, n in self.number.items() if self.seen[n]}
+        lengths = np.diff(self.begin)[kept]
+        self.ids = self.ids[_ranges(self.begin[kept], lengths)]
+        self.begin, self.check, self.seen = np.concatenate([[0], np.cumsum(lengths)]), self.check[kept], np.zeros(len(kept), bool)
+
+    def numbers(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Numbers of chunks given by places in the bytes; new ones are encoded first."""
+        if not len(starts):
+            return np.zeros(0, np.int64)
+        first, second = (byte_hashes(data, starts, lane) for lane in (0, 1))
+        keys, where, which = np.unique(first, return_index=True, return_inverse=True)
+        check = second[where]
+        found = np.fromiter((self.number.get(k, -1) for k in keys.tolist()), np.int64, len(keys))
+        known = np.zeros(len(keys), bool)
+        known[found >= 0] = self.check[found[found >= 0]] == check[found >= 0]
+        new = np.flatnonzero(~known)
+        if len(new):
+            found[new] = self.taken_in(data, starts[where[new]], ends[where[new]], check[new])
+            self.number.update(zip(keys[new].tolist(), found[new].tolist(), strict=True))
+        out = found[which.reshape(-1)]
+        odd = np.flatnonzero(self.check[out] != second)  # other chunks of the same first hash stay unlisted
+        if len(odd):
+            out[odd] = self.taken_in(data, starts[odd], ends[odd], second[odd])
+        self.seen[out] = True
+        return out
+
+    def taken_in(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray, check: np.ndarray) -> np.ndarray:
+        """Numbers of chunks that are encoded now."""
+        text = data.tobytes()
+        ids = self.encode_chunks([text[a:b].decode("utf-8", "surrogatepass") for a, b in zip(starts.tolist(), ends.tolist(), strict=True)])
+        out = np.arange(len(ids)) + len(self.check)
+        self.begin = np.concatenate([self.begin, self.begin[-1] + np.cumsum([len(i) for i in ids])])
+        self.ids = np.concatenate([self.ids, np.fromiter((x for i in ids for x in i), np.uint32)])
+        self.check = np.concatenate([self.check, check])
+        self.seen = np.concatenate([self.seen, np.zeros(len(ids), bool)])
+        return out
+
+    def encode(self, column: pa.Array) -> Iterator[np.ndarray]:
+        """Ids of each text of a column as unsigned 32-bit numbers; a null is empty."""
+        if len(self.check) > REMEMBERED:
+            self.forget()
+        data, offsets = text_view(column)
+        inside = (data != 0x20) & (data != 0x0A)
+        edge = np.zeros(len(data) + 1, bool)
+        edge[offsets] = True
+        before, after = np.zeros(len(data), bool), np.zeros(len(data), bool)
+        before[1:], after[:-1] = inside[:-1], inside[1:]
+        starts = np.flatnonzero(inside & (~before | edge[:-1]))
+        ends = np.flatnonzero(inside & (~after | edge[1:])) + 1
+        numbers = self.numbers(data, starts, ends)
+        lengths = self.begin[numbers + 1] - self.begin[numbers]
+        ids = self.ids[_ranges(self.begin[numbers], lengths)]
+        cuts = np.concatenate([[0], np.cumsum(lengths)])[np.searchsorted(starts, offsets)]
+        bars = np.unique(np.searchsorted(offsets, np.flatnonzero(data == 0x7C), "right") - 1)
+        marked = {i: t for i in bars.tolist() if (t := column[i].as_py()) and self.marker(t)}
+        for i in range(len(column)):
+            if i in marked:
+                yield np.array(self.tokenizer.encode(marked[i], add_special_tokens=False).ids, np.uint32)
             else:
-                other.append(chunk)
-        self.encode_all(self.tokenizer, other, self.known)
-        self.encode_all(self.plain, self.letters.unseen({w for w, _ in simple.values()}), self.letters)
-        for chunk, (letters, mark) in simple.items():
-            self.known[chunk] = self.letters[letters] + mark
-
-    def encode(self, texts: list[str | None]) -> Iterator[bytes]:
-        split = [(t or "").replace("\n", " ").split(" ") for t in texts]
-        self.known, self.letters = self.known.turned(REMEMBERED), self.letters.turned(REMEMBERED)
-        self.learn(self.known.unseen(set().union(*split)))
-        get = self.known.__getitem__
-        for text, chunks in zip(texts, split, strict=True):
-            if text and "|" in text and self.marker(text):
-                yield array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
-            else:
-                yield b"".join(map(get, chunks))
+                yield ids[cuts[i] : cuts[i + 1]]
+
+
+def _ranges(begins: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The places of ranges one after the other."""
+    total = np.cumsum(lengths)
+    return np.repeat(begins - total + lengths, lengths) + np.arange(total[-1] if len(total) else 0)
 
 
 @lru_cache(maxsize=2)
@@ -154,7 +210,7 @@ def pack(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chunks, bins = chunks_of(tokenizer), Harmonic(capacity, slack, classes)
-        end = np.array([end_id], "<u4").tobytes()
+        end = np.array([end_id], np.uint32)
         sequence = TaskContext.get().partitionId() << 33
         out: list[tuple] = []
 
@@ -163,8 +219,8 @@ def pack(
             offset = 0
             for doc, start, length in done:
                 number, doc_id, n, ids = doc
-                piece = ids[4 * start : 4 * (start + length)]
-                out.append((doc_id, start, length, zlib.crc32(piece), n, sequence, offset))
+                piece = ids[start : start + length]
+                out.append((doc_id, start, length, zlib.crc32(piece.astype("<u4").tobytes()), n, sequence, offset))
                 offset += length
             sequence += 1
 
@@ -176,10 +232,10 @@ def pack(
         number = 0
         for batch in slices(batches, "text"):
             ids = batch.column("id").to_pylist()
-            for doc_id, data in zip(ids, chunks.encode(batch.column("text").to_pylist()), strict=True):
+            for doc_id, data in zip(ids, chunks.encode(batch.column("text")), strict=True):
                 number += 1
-                data += end
-                doc = (number, doc_id, len(data) // 4, data)
+                data = np.concatenate([data, end])  # its own, as the batch's ids need not wait for an open bin
+                doc = (number, doc_id, len(data), data)
                 for done in bins.add(doc, doc[2]):
                     emit(done)
             if len(out) > 4096:
