@@ -76,7 +76,7 @@ class Recent(dict):
     def unseen(self, keys: set) -> list:
         """Of some keys those that neither generation has."""
         old = self.old
-        return [k for k in keys - self.keys() if k not in old]
+        return [k for k in keys if k not in self and k not in old]  # a difference of sets would walk through all that is known
 
     def turned(self, most: int) -> "Recent":
         """This, or a new generation after it once it has more than `most` keys."""
