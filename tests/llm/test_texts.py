@@ -1,6 +1,5 @@
 """Tokens, packing, fingerprints, languages, toxicity, licences and pages."""
 
-import base64
 import hashlib
 import random
 import zlib
