@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from collections import defaultdict
 from collections.abc import Iterator
 from functools import lru_cache
@@ -23,8 +24,9 @@ from scrimlens.llm.common import Recent, byte_hashes, id_in, id_out, slices, tex
 
 PIECES = "id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 _NAMES = [c.split()[0] for c in PIECES.split(", ")]
-#: Distinct chunks of text whose ids a worker remembers; beyond, those not seen since the last time are dropped.
-REMEMBERED = 800_000
+#: Distinct chunks of text whose ids a worker remembers, beyond which those not seen since the last time are dropped, and words of
+#: plain letters in each of two generations.
+REMEMBERED, LETTERS = 400_000, 100_000
 
 
 class Chunks:
@@ -44,7 +46,7 @@ class Chunks:
         self.plain = Tokenizer.from_file(path)
         self.plain.normalizer = normalizers.Sequence([])
         self.plain.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
-        self.marks = {m: self.tokenizer.encode(m, add_special_tokens=False).ids for m in ",."}
+        self.marks = {m: array("I", self.tokenizer.encode(m, add_special_tokens=False).ids) for m in ",."}
         markers = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.marker = re.compile("|".join(map(re.escape, markers)), re.IGNORECASE).search if markers else lambda _: None
         self.letters = Recent()
@@ -53,19 +55,20 @@ class Chunks:
         self.check, self.begin, self.seen = np.zeros(0, np.uint64), np.zeros(1, np.int64), np.zeros(0, bool)
         self.ids = np.zeros(0, np.uint32)
 
-    def encode_chunks(self, chunks: list[str]) -> list[list[int]]:
+    def encode_chunks(self, chunks: list[str]) -> list[array]:
         low = [c[:-1].lower() if c[-1] in self.marks else c.lower() for c in chunks]
         simple = [w.isalpha() and max(w) < "\u0180" and len(w) == len(c) - (c[-1] in self.marks) for w, c in zip(low, chunks, strict=True)]
         other = [c for c, s in zip(chunks, simple, strict=True) if not s]
         whole = dict(zip(other, self.ids_of(self.tokenizer, other), strict=True))
-        self.letters = self.letters.turned(REMEMBERED)
+        self.letters = self.letters.turned(LETTERS)
         new = self.letters.unseen({w for w, s in zip(low, simple, strict=True) if s})
         self.letters.update(zip(new, self.ids_of(self.plain, new), strict=True))
-        return [self.letters[w] + self.marks.get(c[-1], []) if s else whole[c] for c, w, s in zip(chunks, low, simple, strict=True)]
+        none = array("I")
+        return [self.letters[w] + self.marks.get(c[-1], none) if s else whole[c] for c, w, s in zip(chunks, low, simple, strict=True)]
 
     @staticmethod
-    def ids_of(tokenizer: object, chunks: list[str]) -> list[list[int]]:
-        return [got.ids for i in range(0, len(chunks), 4096) for got in tokenizer.encode_batch_fast(chunks[i : i + 4096], add_special_tokens=False)]
+    def ids_of(tokenizer: object, chunks: list[str]) -> list[array]:
+        return [array("I", got.ids) for i in range(0, len(chunks), 4096) for got in tokenizer.encode_batch_fast(chunks[i : i + 4096], add_special_tokens=False)]
 
     def forget(self) -> None:
         """Keep the chunks seen since the last time."""
@@ -103,7 +106,7 @@ class Chunks:
         ids = self.encode_chunks([text[a:b].decode("utf-8", "surrogatepass") for a, b in zip(starts.tolist(), ends.tolist(), strict=True)])
         out = np.arange(len(ids)) + len(self.check)
         self.begin = np.concatenate([self.begin, self.begin[-1] + np.cumsum([len(i) for i in ids])])
-        self.ids = np.concatenate([self.ids, np.fromiter((x for i in ids for x in i), np.uint32)])
+        self.ids = np.concatenate([self.ids, np.frombuffer(b"".join(i.tobytes() for i in ids), np.uint32)])
         self.check = np.concatenate([self.check, check])
         self.seen = np.concatenate([self.seen, np.zeros(len(ids), bool)])
         return out
