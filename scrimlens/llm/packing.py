@@ -24,7 +24,7 @@ from scrimlens.llm.common import Recent, byte_hashes, id_in, id_out, slices, tex
 
 PIECES = "id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 _NAMES = [c.split()[0] for c in PIECES.split(", ")]
-#: Distinct chunks of text whose ids a worker remembers, beyond which those not seen since the last time are dropped, and words of
+#: Distinct chunks of text whose ids a worker remembers, beyond which those that did not come again are dropped, and words of
 #: plain letters in each of two generations.
 REMEMBERED, LETTERS = 400_000, 100_000
 
@@ -50,7 +50,7 @@ class Chunks:
         markers = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.marker = re.compile("|".join(map(re.escape, markers)), re.IGNORECASE).search if markers else lambda _: None
         self.letters = Recent()
-        #: By first hash the chunk's number; by number the second hash, the place of its ids and whether it was seen of late.
+        #: By first hash the chunk's number; by number the second hash, the place of its ids and whether it came again.
         self.number: dict[int, int] = {}
         self.check, self.begin, self.seen = np.zeros(0, np.uint64), np.zeros(1, np.int64), np.zeros(0, bool)
         self.ids = np.zeros(0, np.uint32)
@@ -71,7 +71,7 @@ class Chunks:
         return [array("I", got.ids) for i in range(0, len(chunks), 4096) for got in tokenizer.encode_batch_fast(chunks[i : i + 4096], add_special_tokens=False)]
 
     def forget(self) -> None:
-        """Keep the chunks seen since the last time."""
+        """Keep the chunks that came again since the last time; most are met once only."""
         kept = np.flatnonzero(self.seen)
         place = np.cumsum(self.seen) - 1
         self.number = {h: int(place[n]) for h, n in self.number.items() if self.seen[n]}
@@ -89,6 +89,7 @@ class Chunks:
         found = np.fromiter((self.number.get(k, -1) for k in keys.tolist()), np.int64, len(keys))
         known = np.zeros(len(keys), bool)
         known[found >= 0] = self.check[found[found >= 0]] == check[found >= 0]
+        self.seen[found[known]] = True
         new = np.flatnonzero(~known)
         if len(new):
             found[new] = self.taken_in(data, starts[where[new]], ends[where[new]], check[new])
@@ -97,7 +98,6 @@ class Chunks:
         odd = np.flatnonzero(self.check[out] != second)  # other chunks of the same first hash stay unlisted
         if len(odd):
             out[odd] = self.taken_in(data, starts[odd], ends[odd], second[odd])
-        self.seen[out] = True
         return out
 
     def taken_in(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray, check: np.ndarray) -> np.ndarray:
