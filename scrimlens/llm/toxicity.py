@@ -35,6 +35,8 @@ _LEET = {"0": "o", "1": "il", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b",
 #: many (beside a third, beside one), a gap inside a word (with blanks, without), a gap without blanks between words.
 SIGN_READ, SIGN_KEPT, SIGN_KEPT_ALONE, AGAIN, MANY, TWICE, BLANKS_INSIDE, GAP_INSIDE, GAP_KEPT = -1.5, -0.5, -3.0, -1.0, -0.1, -3.0, -0.5, 0.0, -3.0
 _WORD = re.compile(r"\w+")
+#: Bytes of text whose skeleton is made at once; its arrays take some fifty times as much.
+SLICE_BYTES = 1 << 19
 
 # -------------------------------------------------------------------------------------------- character language model
 
@@ -190,7 +192,7 @@ EQUAL, BEGINS, ENDS = 1, 2, 4
 class Finder:
     """Words of texts that may hit the lexicon: plain ones, and what the decoder makes of stretches that could hide one."""
 
-    def __init__(self, characters: Characters, lexicon: frozenset[str], remembered: int = 200_000) -> None:
+    def __init__(self, characters: Characters, lexicon: frozenset[str], remembered: int = 20_000) -> None:
         self.characters, self.remembered = characters, remembered
         self.known: dict[str, list[str]] = {}
         shapes: dict[str, int] = {}
@@ -409,7 +411,7 @@ def _evidence(rows: DataFrame, finder: Finder, scale: Scale) -> DataFrame:
     """The scale's rows of labelled documents with words of the lexicon."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", SLICE_BYTES):
             out = []
             for toxic, (words, n) in zip(batch.column("toxic").to_pylist(), _found(batch, finder), strict=True):
                 if words and (hits := scale.hits(words)):
@@ -471,7 +473,7 @@ def toxicity(
     out = pa.schema([("id", pa.int64()), ("score", pa.float64()), ("hits", pa.list_(pa.string()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", SLICE_BYTES):
             scores, hits = zip(*(scale.score(words, n) for words, n in _found(batch, finder)), strict=True)
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(scores, pa.float64()), pa.array(hits, pa.list_(pa.string()))], schema=out)
 
