@@ -26,7 +26,7 @@ PIECES = "id long, start long, length long, ids_crc32 long, doc_tokens long, seq
 _NAMES = [c.split()[0] for c in PIECES.split(", ")]
 #: Distinct chunks of text whose ids a worker remembers, beyond which those that did not come again are dropped, and words of
 #: plain letters in each of two generations.
-REMEMBERED, LETTERS = 300_000, 100_000
+REMEMBERED, LETTERS = 800_000, 200_000
 
 
 class Chunks:
