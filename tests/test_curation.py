@@ -71,6 +71,14 @@ def test_peer_rows_once_per_match(raw):
     assert got.where("match_id = 'LA2_1'").first().cs_per_min == pytest.approx(120 / 30.0)
 
 
+def test_copies_are_chosen_without_moving_payloads(raw):
+    """More matches than may be broadcast: what is joined are parsed rows, not documents."""
+    few, many = curate.flatten_peers(raw), curate.flatten_peers(raw, most_broadcast=0)
+    assert sorted(map(str, many.collect())) == sorted(map(str, few.collect()))
+    plan = many._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Join LeftSemi") < plan.index("Generate explode")
+
+
 def test_shared_parse_gives_the_same_tables(raw):
     shared = curate.shared_parse(curate.participants(raw))
     assert sorted(map(str, curate.match_facts(shared).collect())) == sorted(map(str, curate.flatten_matches(raw).collect()))

@@ -343,6 +343,10 @@ def test_labels_and_ids(spark):
 def test_rounding_and_times(spark):
     df = spark.createDataFrame([(2.7,), (2.5,), (-2.5,), (3.0,), (None,)], "x double")
     assert [r.x for r in df.select(X.rounded_int(F.col("x")).alias("x")).collect()] == [3, 3, -3, 3, None]
+    edges = [2**31 - 1.0, 2**31 - 0.5, -2**31 - 0.25, 2.0**31, -2.0**31, 0.49999999999999994, 2.4999999999999996, 1e300, float("nan"), float("inf")]
+    edges = spark.createDataFrame([(x,) for x in edges], "x double").select(
+        X.rounded_int(F.col("x")).alias("got"), F.round("x").try_cast("int").alias("want"))
+    assert [r.got for r in edges.collect()] == [r.want for r in edges.collect()]
     at = spark.createDataFrame([(1756771200999,)], "ms long").select(X.played_at("ms").alias("t"))
     assert str(at.first().t) == "2025-09-02 00:00:00"
     back = at.select(X.epoch_seconds("t").alias("s"), *X.date_keys("t")).first()
