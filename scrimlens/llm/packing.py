@@ -13,6 +13,7 @@ from array import array
 from collections import defaultdict
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +27,7 @@ PIECES = "id long, start long, length long, ids_crc32 long, doc_tokens long, seq
 _NAMES = [c.split()[0] for c in PIECES.split(", ")]
 #: Distinct chunks of text whose ids a worker remembers, beyond which those that did not come again are dropped, and words of
 #: plain letters in each of two generations.
-REMEMBERED, LETTERS = 800_000, 200_000
+REMEMBERED, LETTERS = 800_000, 400_000
 
 
 class Chunks:
@@ -46,8 +47,11 @@ class Chunks:
         self.plain = Tokenizer.from_file(path)
         self.plain.normalizer = normalizers.Sequence([])
         self.plain.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
-        self.marks = {m: array("I", self.tokenizer.encode(m, add_special_tokens=False).ids) for m in ",."}
-        markers = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.marks = {m: array("I", self.tokenizer.encode(m, add_special_tokens=False).ids).tobytes() for m in ",."}
+        added = self.tokenizer.get_added_tokens_decoder()
+        markers = [t.content for t in added.values()]
+        #: Text and id of a marker, which stands after each chunk where many are encoded at once.
+        self.stop = next(((t.content, i) for i, t in added.items()), None)
         self.marker = re.compile("|".join(map(re.escape, markers)), re.IGNORECASE).search if markers else lambda _: None
         self.letters = Recent()
         #: By first hash the chunk's number; by number the second hash, the place of its ids and whether it came again.
@@ -55,20 +59,38 @@ class Chunks:
         self.check, self.begin, self.seen = np.zeros(0, np.uint64), np.zeros(1, np.int64), np.zeros(0, bool)
         self.ids = np.zeros(0, np.uint32)
 
-    def encode_chunks(self, chunks: list[str]) -> list[array]:
+    def encode_chunks(self, chunks: list[str]) -> list[bytes]:
         low = [c[:-1].lower() if c[-1] in self.marks else c.lower() for c in chunks]
-        simple = [w.isalpha() and max(w) < "\u0180" and len(w) == len(c) - (c[-1] in self.marks) for w, c in zip(low, chunks, strict=True)]
+        simple = [
+            w.isalpha() and (w.isascii() or max(w) < "\u0180") and len(w) == len(c) - (c[-1] in self.marks) for w, c in zip(low, chunks, strict=True)]
         other = [c for c, s in zip(chunks, simple, strict=True) if not s]
         whole = dict(zip(other, self.ids_of(self.tokenizer, other), strict=True))
         self.letters = self.letters.turned(LETTERS)
         new = self.letters.unseen({w for w, s in zip(low, simple, strict=True) if s})
         self.letters.update(zip(new, self.ids_of(self.plain, new), strict=True))
-        none = array("I")
-        return [self.letters[w] + self.marks.get(c[-1], none) if s else whole[c] for c, w, s in zip(chunks, low, simple, strict=True)]
-
-    @staticmethod
-    def ids_of(tokenizer: object, chunks: list[str]) -> list[array]:
-        return [array("I", got.ids) for i in range(0, len(chunks), 4096) for got in tokenizer.encode_batch_fast(chunks[i : i + 4096], add_special_tokens=False)]
+        return [self.letters[w] + self.marks.get(c[-1], b"") if s else whole[c] for c, w, s in zip(chunks, low, simple, strict=True)]
+
+    def ids_of(self, tokenizer: object, chunks: list[str]) -> list[bytes]:
+        """Ids of each chunk as bytes. Chunks are encoded 512 at a time, with a marker after each, which costs less than an
+        encoding for each; where that does not give back as many markers, one by one."""
+        single = lambda part: [array("I", got.ids).tobytes() for got in tokenizer.encode_batch_fast(part, add_special_tokens=False)]
+        out: list[bytes] = []
+        for first in range(0, len(chunks), 8192):
+            parts = [chunks[i : i + 512] for i in range(first, min(first + 8192, len(chunks)), 512)]
+            if self.stop is None:
+                out += [ids for part in parts for ids in single(part)]
+                continue
+            text, stop = self.stop
+            lines = [[w for chunk in part for w in (chunk, text)] for part in parts]
+            for part, got in zip(parts, tokenizer.encode_batch_fast(lines, is_pretokenized=True, add_special_tokens=False), strict=True):
+                ids = np.array(got.ids, np.uint32)
+                ends = np.flatnonzero(ids == stop)
+                if len(ends) != len(part):  # a chunk holds the marker itself
+                    out += single(part)
+                    continue
+                data, begins = ids.tobytes(), np.concatenate([[0], ends[:-1] + 1])
+                out += [data[a:b] for a, b in zip((4 * begins).tolist(), (4 * ends).tolist(), strict=True)]
+        return out
 
     def forget(self) -> None:
         """Keep the chunks that came again since the last time; most are met once only."""
@@ -86,7 +108,7 @@ class Chunks:
         first, second = (byte_hashes(data, starts, lane) for lane in (0, 1))
         keys, where, which = np.unique(first, return_index=True, return_inverse=True)
         check = second[where]
-        found = np.fromiter((self.number.get(k, -1) for k in keys.tolist()), np.int64, len(keys))
+        found = np.fromiter(map(self.number.get, keys.tolist(), repeat(-1)), np.int64, len(keys))
         known = np.zeros(len(keys), bool)
         known[found >= 0] = self.check[found[found >= 0]] == check[found >= 0]
         self.seen[found[known]] = True
@@ -105,8 +127,8 @@ class Chunks:
         text = data.tobytes()
         ids = self.encode_chunks([text[a:b].decode("utf-8", "surrogatepass") for a, b in zip(starts.tolist(), ends.tolist(), strict=True)])
         out = np.arange(len(ids)) + len(self.check)
-        self.begin = np.concatenate([self.begin, self.begin[-1] + np.cumsum([len(i) for i in ids])])
-        self.ids = np.concatenate([self.ids, np.frombuffer(b"".join(i.tobytes() for i in ids), np.uint32)])
+        self.begin = np.concatenate([self.begin, self.begin[-1] + np.cumsum([len(i) // 4 for i in ids])])
+        self.ids = np.concatenate([self.ids, np.frombuffer(b"".join(ids), np.uint32)])
         self.check = np.concatenate([self.check, check])
         self.seen = np.concatenate([self.seen, np.zeros(len(ids), bool)])
         return out

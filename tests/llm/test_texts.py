@@ -112,6 +112,28 @@ def test_harmonic_bins_hold_their_number():
         assert mine[0][0] == 0 and all(a + b == c for (a, b), (c, _) in zip(mine, mine[1:], strict=False))
 
 
+def test_chunks_encoded_together_have_their_own_ids():
+    """More than one line of chunks, with markers, white space and rare signs among them, as encoded one by one."""
+    from scrimlens.llm import packing
+
+    chunks = packing.Chunks(WORDS)
+    odd = ["<|endoftext|>", "a<|startoftext|>b<|startoftext|>", "<|ENDOFTEXT|>", "\t", "\u00a0", "\ud55c\uad6d", "e\u0301", "\U0001f600x", "can't", "12,5", "..."]
+    words = [f"{a}{b}{n}" for a in ("ab", "Zuerst", "na\u00efve", "x-") for b in ("", "ing", "'s") for n in range(60)]
+    for asked in (words, words + odd, odd + words, odd, [], ["one"]):
+        for tokenizer in (chunks.tokenizer, chunks.plain):
+            want = [np.array(tokenizer.encode(c, add_special_tokens=False).ids, np.uint32).tobytes() for c in asked]
+            assert chunks.ids_of(tokenizer, asked) == want
+    calls = []
+    tokenizer = chunks.tokenizer
+
+    class Counted:
+        def encode_batch_fast(self, texts, **options):
+            calls.append(len(texts))
+            return tokenizer.encode_batch_fast(texts, **options)
+
+    assert len(chunks.ids_of(Counted(), words)) == 720 and calls == [2]
+
+
 def check_packing(rows, got):
     tokenizer = Tokenizer.from_file(WORDS)
     ids = {i: [*tokenizer.encode(t or "", add_special_tokens=False).ids, 1] for i, t in rows}
