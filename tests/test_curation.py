@@ -1,4 +1,5 @@
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -6,7 +7,7 @@ from pyspark.sql import functions as F
 from scrimlens import schemas
 from scrimlens.functions.filters import from_day
 from scrimlens.operators import curate
-from scrimlens.plans import reports
+from scrimlens.plans import registry, reports
 from scrimlens.sources import readers, requests, scope, writers
 from scrimlens.streaming import curation, landing, ratings, usage
 from tests.fixtures import landed, match, participant, timeline
@@ -79,6 +80,34 @@ def test_copies_are_chosen_without_moving_payloads(raw):
     assert plan.index("Join LeftSemi") < plan.index("Generate explode")
 
 
+def test_copies_that_rows_tell_themselves_are_not_joined(spark):
+    """Only matches whose smallest player has no copy, or a copy by somebody else, are looked up, however many matches there are."""
+    def copy(number, owner, kills):
+        people = [participant(p, kills=kills) for p in ("a", "b", "c")]
+        return owner, json.dumps(match(number, people))
+    docs = [copy(1, "a", 1), copy(1, "b", 2), copy(2, "c", 3), copy(2, "b", 4), copy(3, "a", 5), copy(3, "Z", 6)]
+    raw = curate.promote(spark.createDataFrame(docs, "puuid string, document string"))
+    few, many = curate.flatten_peers(raw, most_broadcast=2), curate.flatten_peers(raw, most_broadcast=1)
+    want = [(f"LA2_{n}", p, kills) for n, kills in ((1, 1), (2, 4), (3, 6)) for p in ("a", "b", "c")]
+    for got in (few, many):
+        assert sorted((r.match_id, r.puuid, r.kills) for r in got.collect()) == want
+    assert "LeftSemi" in many._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftSemi" not in few._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_documents_shared_by_players_are_parsed_once(raw):
+    """Rows with a list of players give the rows of one row a player."""
+    shared = raw.groupBy("match_id", "game_creation", "game_duration", "queue_id", "payload").agg(F.collect_list("puuid").alias("puuid"))
+    assert sorted(map(str, curate.flatten_matches(shared).collect())) == sorted(map(str, curate.flatten_matches(raw).collect()))
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="driver tables are not here")
+@pytest.mark.parametrize("name", ["flatten_documents", "peer_flatten", "report_champions", "report_win_loss", "report_recent_matches"])
+def test_document_queries_write_no_documents(spark, name):
+    files = registry.QUERIES[name](spark, "/root/testdata/sf0.001").inputFiles()
+    assert files and all("lineitem" in f for f in files)
+
+
 def test_shared_parse_gives_the_same_tables(raw):
     shared = curate.shared_parse(curate.participants(raw))
     assert sorted(map(str, curate.match_facts(shared).collect())) == sorted(map(str, curate.flatten_matches(raw).collect()))
