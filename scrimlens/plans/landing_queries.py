@@ -107,7 +107,7 @@ def listed_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     suppliers = table(spark, sf_dir, "supplier")
     key = F.concat(F.lit("SU_"), F.col("s_suppkey").cast("string"))
     own = suppliers.where("s_acctbal > 0").select(key.alias("match_id"), F.col("s_name").alias("payload"))
-    own.repartition("match_id").write.partitionBy("match_id").json(path)
+    writers.write_by_key(own, path, "match_id")
     there = readers.listed_match_ids(spark, path).withColumn("listed", F.lit(True))
     return suppliers.select(key.alias("match_id"), "s_nationkey").join(there, "match_id", "left").select(
         "match_id", "s_nationkey", F.coalesce("listed", F.lit(False)).alias("listed"))
