@@ -102,12 +102,20 @@ def test_documents_shared_by_players_are_parsed_once(raw):
 
 
 @pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="driver tables are not here")
-@pytest.mark.parametrize("name", ["flatten_documents", "peer_flatten", "report_champions", "report_win_loss", "report_recent_matches"])
+@pytest.mark.parametrize("name", ["flatten_documents", "peer_flatten", "minute_benchmarks", "report_champions", "report_win_loss", "report_recent_matches"])
 def test_document_queries_write_no_documents(spark, name):
     files = registry.QUERIES[name](spark, "/root/testdata/sf0.001").inputFiles()
     assert files and all("lineitem" in f for f in files)
 
 
+def test_directories_of_keys_are_written_by_several_tasks(spark, folder):
+    rows = spark.range(40).select(F.concat(F.lit("SU_"), "id").alias("match_id"), F.col("id").alias("payload"))
+    writers.write_by_key(rows, f"{folder}/own", "match_id", a_task=5)
+    names = [f for d in os.listdir(f"{folder}/own") if d.startswith("match_id=") for f in os.listdir(f"{folder}/own/{d}") if f.startswith("part-")]
+    assert len(names) == 40 and len({n.split("-")[1] for n in names}) > 4
+    assert readers.listed_match_ids(spark, f"{folder}/own").count() == 40
+
+
 def test_shared_parse_gives_the_same_tables(raw):
     shared = curate.shared_parse(curate.participants(raw))
     assert sorted(map(str, curate.match_facts(shared).collect())) == sorted(map(str, curate.flatten_matches(raw).collect()))
