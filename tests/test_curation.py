@@ -402,3 +402,15 @@ def test_rows_after_the_end_of_a_window_change_nothing(spark, lake_tables):
     plain = lambda df: sorted(map(str, df.collect()))
     assert plain(reports.window_trends(both, AS_OF, 30)) == plain(reports.window_trends(matches, AS_OF, 30))
     assert plain(reports.champion_stats(both, AS_OF)) == plain(reports.champion_stats(matches, AS_OF))
+
+
+def test_waiting_timelines_are_found_by_their_ids(spark, folder, monkeypatch):
+    """Which timelines wait is asked without their documents; one without an id waits too."""
+    asked, settle = [], writers.settle
+    monkeypatch.setattr(writers, "settle", lambda df: asked.append(df.columns) or settle(df))
+    fetched = spark.createDataFrame([("m", "{}"), ("w", "{}"), (None, "{}")], "match_id string, document string")
+    places = spark.createDataFrame([("m", "p", "2025", "09", "02")], "match_id string, puuid string, year string, month string, day string")
+    writers.append_timelines(fetched, places, f"{folder}/timelines")
+    assert asked == [["match_id"]]
+    assert {r.match_id for r in writers.waiting_timelines(spark, f"{folder}/timelines").collect()} == {"w", None}
+    assert [r.match_id for r in readers.read_raw_timelines(spark, f"{folder}/timelines").collect()] == ["m"]
