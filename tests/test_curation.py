@@ -95,6 +95,15 @@ def test_copies_that_rows_tell_themselves_are_not_joined(spark):
     assert "LeftSemi" not in few._jdf.queryExecution().optimizedPlan().toString()
 
 
+def test_peers_of_shared_documents_need_no_choice_of_a_copy(spark, raw):
+    """A match with its owners in a list lies there once: the same peers, without a pass over the documents before."""
+    shared = raw.groupBy("match_id", "game_creation", "game_duration", "queue_id", "payload").agg(F.collect_list("puuid").alias("puuid"))
+    got = curate.flatten_peers(shared)
+    assert sorted(map(str, got.collect())) == sorted(map(str, curate.flatten_peers(raw).collect()))
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and plan.count("Aggregate") == 1  # the list of the test itself
+
+
 def test_documents_shared_by_players_are_parsed_once(raw):
     """Rows with a list of players give the rows of one row a player."""
     shared = raw.groupBy("match_id", "game_creation", "game_duration", "queue_id", "payload").agg(F.collect_list("puuid").alias("puuid"))
