@@ -117,6 +117,21 @@ def test_document_queries_write_no_documents(spark, name):
     assert files and all("lineitem" in f for f in files)
 
 
+def test_shared_documents_are_curated_without_repeats(spark, folder, raw):
+    """The same tables from documents that lie once for all their owners; each participant is staged once, and nothing is left of the stage."""
+    shared = raw.groupBy("match_id", "game_creation", "game_duration", "queue_id", "payload").agg(F.collect_list("puuid").alias("puuid"))
+    staged = curate.shared_parse(curate.participants(shared, together=True))
+    assert staged.groupBy("match_id", "peer.puuid").count().where("count > 1").isEmpty()
+    lakes = [curation.Lake(f"{folder}/{name}") for name in ("shared", "single")]
+    for rows, lake in zip((shared, raw), lakes, strict=True):
+        for buckets in (3, 5):  # the second run adds nothing
+            curation.curate_raw(rows, lake, buckets=buckets)
+        assert not [f for _, _, names in os.walk(f"{lake.root}/curate_staging") for f in names]
+    for read, of in ((readers.read_matches, "matches"), (readers.read_peers, "peers")):
+        got, want = (read(spark, getattr(lake, of)).drop("bucket", "buckets") for lake in lakes)
+        assert want.count() > 0 and sorted(map(str, got.select(want.columns).collect())) == sorted(map(str, want.collect()))
+
+
 def test_directories_of_keys_are_written_by_several_tasks(spark, folder):
     rows = spark.range(40).select(F.concat(F.lit("SU_"), "id").alias("match_id"), F.col("id").alias("payload"))
     writers.write_by_key(rows, f"{folder}/own", "match_id", a_task=5)
