@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from scrimlens import schemas
 from scrimlens.functions.filters import from_day
-from scrimlens.operators import curate
+from scrimlens.operators import curate, state
 from scrimlens.plans import registry, reports
 from scrimlens.sources import readers, requests, scope, writers
 from scrimlens.streaming import curation, landing, ratings, usage
@@ -132,6 +132,25 @@ def test_shared_documents_are_curated_without_repeats(spark, folder, raw):
         assert want.count() > 0 and sorted(map(str, got.select(want.columns).collect())) == sorted(map(str, want.collect()))
 
 
+def test_recent_matches_of_documents_move_few_whole_rows(raw):
+    """The report over the curated rows, and rows that cannot be among the newest are gone before their documents are parsed."""
+    shared = raw.groupBy("match_id", "game_creation", "game_duration", "queue_id", "payload").agg(F.collect_list("puuid").alias("puuid"))
+    for rows in (raw, shared):
+        want = reports.recent_matches(curate.flatten_matches(raw), AS_OF, 3000, 2, solo_only=False).collect()
+        got = reports.recent_matches_of_documents(rows, AS_OF, 3000, 2, solo_only=False)
+        assert want and sorted(map(str, got.collect())) == sorted(map(str, want))
+
+
+def test_only_likely_rows_are_left(spark):
+    """All of the three newest with their ties, also those of a hot entity, and few others."""
+    rows = spark.range(20_000).select((F.col("id") % 20).alias("e"), F.when(F.col("id") % 20 == 0, F.col("id") / 2000).otherwise(F.col("id")).cast("int").alias("at"), "id")
+    left = state.likely_newest(rows, rows.select("e", "at"), ["e"], "at", 3)
+    want = {r.id for r in state.newest_per_entity(rows, ["e"], [F.desc("at"), F.desc("id")], 3).collect()}
+    assert want <= {r.id for r in left.collect()} and left.where("e > 0").count() < 2_500
+    assert {r.id for r in state.newest_per_entity(left, ["e"], [F.desc("at"), F.desc("id")], 3).collect()} == want
+    assert state.likely_newest(rows, rows, ["e"], "at", 3, most_broadcast=0).count() == 20_000
+
+
 def test_directories_of_keys_are_written_by_several_tasks(spark, folder):
     rows = spark.range(40).select(F.concat(F.lit("SU_"), "id").alias("match_id"), F.col("id").alias("payload"))
     writers.write_by_key(rows, f"{folder}/own", "match_id", a_task=5)
