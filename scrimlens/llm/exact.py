@@ -15,7 +15,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from scrimlens.llm.common import id_in, id_out, settle
+from scrimlens.llm.common import id_in, id_out, settle, tidy
 
 #: Characters of a text in the range key. Splitters are sampled to the driver, so the key must not hold whole texts.
 KEY_CHARS = 32
@@ -24,6 +24,7 @@ _RUNS = "id long, range int, run long, n long, low long, high long, sha string,
 
 def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Runs of equal neighbours in a sorted range; the first and the last run also carry their text."""
+    tidy()
     place, schema = TaskContext.get().partitionId(), pa.schema(
         [(n, {"string": pa.string(), "long": pa.int64(), "int": pa.int32()}[t]) for n, t in (c.split() for c in _RUNS.split(", "))])
     text: str | None = None

@@ -12,7 +12,6 @@ import zlib
 from array import array
 from collections import defaultdict
 from collections.abc import Iterator
-from functools import lru_cache
 from itertools import repeat
 
 import numpy as np
@@ -21,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scrimlens.llm.common import Recent, byte_hashes, id_in, id_out, slices, text_view
+from scrimlens.llm.common import Recent, byte_hashes, id_in, id_out, remembered, slices, text_view
 
 PIECES = "id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 _NAMES = [c.split()[0] for c in PIECES.split(", ")]
@@ -164,10 +163,9 @@ def _ranges(begins: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return np.repeat(begins - total + lengths, lengths) + np.arange(total[-1] if len(total) else 0)
 
 
-@lru_cache(maxsize=2)
 def chunks_of(path: str) -> Chunks:
     """One a Python worker, so that what one task has met serves the next."""
-    return Chunks(path)
+    return remembered(Chunks, path)
 
 
 class Harmonic:

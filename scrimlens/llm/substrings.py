@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from scrimlens.llm.blocks import HASH_BITS, packed, range_cuts, unpacked
-from scrimlens.llm.common import Words, block_count, gram_hashes, id_in, id_out, mix, slices
+from scrimlens.llm.common import Words, block_count, gram_hashes, id_in, id_out, mix, slices, tidy
 
 _U = np.uint64
 WINDOW = 20  # words; an anchor is a hash of half as many
@@ -138,6 +138,7 @@ def _answers(rows: list[dict], flags: np.ndarray, number: int) -> pa.Table:
 
 
 def _shared_anchors(table: pa.Table) -> pa.Table:
+    tidy()
     rows = table.to_pylist()
     hashes = _received(rows)
     order = np.argsort(hashes, kind="stable")
@@ -151,6 +152,7 @@ def _shared_anchors(table: pa.Table) -> pa.Table:
 
 def _earlier_windows(table: pa.Table) -> pa.Table:
     """Of each window the block with the smallest document keeps it; the others learn that theirs come later."""
+    tidy()
     rows = table.to_pylist()
     hashes = _received(rows)
     more = np.concatenate([np.frombuffer(r["more"], np.uint32) for r in rows])
@@ -184,10 +186,12 @@ def repeated_spans(
     dealt = rows.repartition(parts, "block")
 
     def send_anchors(table: pa.Table) -> pa.Table:
+        tidy()
         block = Block(table, window)
         return _batch(_sent(block.values, anchor_ranges, HASH_BITS, table.column("block")[0].as_py()), _HASHES)
 
     def parsed(docs_: pa.Table, bits: pa.Table) -> tuple[Block, np.ndarray, np.ndarray, np.ndarray, list[dict]]:
+        tidy()
         block = Block(docs_, window)
         rows_ = bits.to_pylist()
         shared = _bits(range_cuts(block.values, anchor_ranges), [r for r in rows_ if r["round"] == 1])

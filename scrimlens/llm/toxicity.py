@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scrimlens.llm.common import id_in, id_out, settle, slices
+from scrimlens.llm.common import id_in, id_out, settle, slices, tidy
 
 #: Labelled rows that the lexicon is learned from at most; beyond, a sample by the hash of the id.
 TRAINING_ROWS = 20_000
@@ -63,6 +63,7 @@ def character_counts(docs: DataFrame, text: str) -> DataFrame:
     """Trigrams of character classes over all texts: (code, n). A task adds up what it reads before anything is moved."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tidy()
         total = np.zeros(SYMBOLS**3, np.int64)
         for batch in slices(batches, "text"):
             c = classes("\n\n".join(["", *(t or "" for t in batch.column("text").to_pylist()), ""]))
@@ -339,6 +340,7 @@ def _feature_counts(rows: DataFrame, known: frozenset[str] | None) -> DataFrame:
     """Documents that have each feature in the words as they stand; with `known` only of these features. Added up by task first."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tidy()
         total: Counter[str] = Counter()
 
         def table() -> pa.RecordBatch:
@@ -411,6 +413,7 @@ def _evidence(rows: DataFrame, finder: Finder, scale: Scale) -> DataFrame:
     """The scale's rows of labelled documents with words of the lexicon."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tidy()
         for batch in slices(batches, "text", SLICE_BYTES):
             out = []
             for toxic, (words, n) in zip(batch.column("toxic").to_pylist(), _found(batch, finder), strict=True):
@@ -473,6 +476,7 @@ def toxicity(
     out = pa.schema([("id", pa.int64()), ("score", pa.float64()), ("hits", pa.list_(pa.string()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tidy()
         for batch in slices(batches, "text", SLICE_BYTES):
             scores, hits = zip(*(scale.score(words, n) for words, n in _found(batch, finder)), strict=True)
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(scores, pa.float64()), pa.array(hits, pa.list_(pa.string()))], schema=out)

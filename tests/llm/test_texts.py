@@ -506,3 +506,26 @@ def test_pages_that_close_nothing_take_linear_time():
     for piece in ("<div>x", "<div class=ad><article>x y", "<section id=main-nav><p>a</q>"):
         small, large = seconds(piece * 3000), seconds(piece * 24_000)
         assert large < 30 * max(small, 0.01), piece  # eight times the text; sixty-four times if each block looked at its whole path
+
+
+def test_a_worker_remembers_for_one_operator_at_a_time():
+    """What a worker keeps for packing goes when it begins a task of another operator, and is made anew afterwards."""
+    import gc
+    import weakref
+
+    import pyarrow as pa
+    import public_tokenizers
+
+    from scrimlens.llm import common, packing, substrings
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    chunks = packing.chunks_of(path)
+    assert packing.chunks_of(path) is chunks
+    kept = weakref.ref(chunks)
+    del chunks
+    substrings._shared_anchors(pa.Table.from_arrays(
+        [pa.array([0]), pa.array([0]), pa.array([1]), pa.array([bytes(8)]), pa.array([b""]), pa.array([None], pa.binary()), pa.array([None], pa.binary())],
+        schema=substrings._HASHES))
+    gc.collect()
+    assert kept() is None
+    assert packing.chunks_of(path) is not None and len(common._REMEMBERED) == 1
