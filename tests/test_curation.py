@@ -457,3 +457,29 @@ def test_waiting_timelines_are_found_by_their_ids(spark, folder, monkeypatch):
     assert asked == [["match_id"]]
     assert {r.match_id for r in writers.waiting_timelines(spark, f"{folder}/timelines").collect()} == {"w", None}
     assert [r.match_id for r in readers.read_raw_timelines(spark, f"{folder}/timelines").collect()] == ["m"]
+
+
+def test_columns_of_documents(raw):
+    """Some columns are the same as all with the others left out, and nothing else is taken out of a document."""
+    wanted = ["match_id", "puuid", "played_at", "cs", "solo_kills", "team_position", "queue_id"]
+    plain = lambda df: sorted(map(str, df.select(*wanted).collect()))
+    some = curate.flatten_matches(raw, wanted)
+    assert set(some.columns) == set(wanted) and plain(some) == plain(curate.flatten_matches(raw))
+    parsed = {f.name for f in schemas.document_of(wanted)["info"].dataType["participants"].dataType.elementType}
+    assert parsed == {"puuid", "teamPosition", "totalMinionsKilled", "neutralMinionsKilled", "challenges"}
+    peers = ["match_id", "puuid", "cs_per_min", "wards_killed", "team_position"]
+    all_peers = curate.flatten_peers(raw).select(*peers)
+    assert sorted(map(str, curate.flatten_peers(raw, columns=peers).select(*peers).collect())) == sorted(map(str, all_peers.collect()))
+
+
+def test_both_tables_of_one_parse(spark):
+    """Marked participants give the rows that the two tables have on their own, also of who is named twice or nowhere."""
+    twice = match(1, [participant(A), participant("b", win=False), participant("b", "JUNGLE"), participant(None), participant(None, "MIDDLE")])
+    lines = [([A, "b"], json.dumps(twice)), (["x", None], json.dumps(match(2, [participant("y"), participant("z", "")]))), ([A], "{broken")]
+    raw = curate.promote(spark.createDataFrame(lines, "owners array<string>, document string"), "owners", ingested_at=F.lit("now"))
+    columns = ["match_id", "puuid", "team_position", "win", "kda", "cs"]
+    people = curate.participants(raw, together=True, mark=True, document=schemas.document_of(columns))
+    found = curate.both_facts(people, columns, columns[:-1])
+    rows = lambda df: sorted(map(str, df.collect()))
+    assert rows(found[0]) == rows(curate.flatten_matches(raw, columns)) and found[0].count() == 3
+    assert rows(found[1]) == rows(curate.flatten_peers(raw, columns=columns[:-1])) and found[1].count() == 4
