@@ -474,7 +474,8 @@ def test_columns_of_documents(raw):
 
 def test_both_tables_of_one_parse(spark):
     """Marked participants give the rows that the two tables have on their own, also of who is named twice or nowhere."""
-    twice = match(1, [participant(A), participant("b", win=False), participant("b", "JUNGLE"), participant(None), participant(None, "MIDDLE")])
+    nobody = {**participant("n"), "puuid": None}
+    twice = match(1, [participant(A), participant("b", win=False), participant("b", "JUNGLE"), nobody, {**nobody, "teamPosition": "MIDDLE"}])
     lines = [([A, "b"], json.dumps(twice)), (["x", None], json.dumps(match(2, [participant("y"), participant("z", "")]))), ([A], "{broken")]
     raw = curate.promote(spark.createDataFrame(lines, "owners array<string>, document string"), "owners", ingested_at=F.lit("now"))
     columns = ["match_id", "puuid", "team_position", "win", "kda", "cs"]
